@@ -10,6 +10,7 @@ from vaultframe.adapters import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+GROUPS: dict[str, str] = {}
 
 # The adapters of vaultframe.adapters again, as SQL.
 ROLES = {
@@ -63,6 +64,7 @@ def check(key: str, sql: str | None = None):
         if key in QUERIES:
             raise ValueError(f"duplicate key {key}")
         QUERIES[key] = lambda spark, sf_dir: function(Tables(spark, sf_dir))
+        GROUPS[key] = function.__module__.rsplit(".", 1)[-1]
         if sql is not None:
             ORACLES[key] = sql
         return function

@@ -89,10 +89,10 @@ def not_blank(t: Tables):
 @check(
     "like_filter",
     """SELECT p_partkey, p_name, p_type FROM part
-       WHERE (upper(p_type) LIKE 'STANDARD%' OR upper(p_type) LIKE '%STEEL%') AND p_brand NOT LIKE 'Brand#1%'""",
+       WHERE (upper(p_type) LIKE 'STANDARD%' OR upper(p_type) LIKE '%MALL%') AND p_brand NOT LIKE 'Brand#1%'""",
 )
 def like_filter(t: Tables):
-    wanted = columns.like_any("p_type", ["STANDARD%", "%STEEL%"]) & ~F.col("p_brand").like("Brand#1%")
+    wanted = columns.like_any("p_type", ["STANDARD%", "%MALL%"]) & ~F.col("p_brand").like("Brand#1%")
     return t.part.filter(wanted).select("p_partkey", "p_name", "p_type")
 
 
