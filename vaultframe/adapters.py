@@ -14,6 +14,7 @@ from vaultframe.functions.columns import decode
 from vaultframe.functions.dates import OPEN_END_TEXT, day_text, open_end
 from vaultframe.functions.keys import hash_key
 from vaultframe.operators import windows
+from vaultframe.session import stage
 
 RUN_EVENTS = "2024-01-20"
 RUN_ORDERS = "1999-06-30"
@@ -119,7 +120,7 @@ class Tables:
         chained = windows.next_value(
             rows, ["site", "attribute"], ["o_orderdate", "val"], {"p_to": "p_from"}, windows.by_month("o_orderdate")
         )
-        return chained.withColumn("p_to", F.coalesce("p_to", open_end())).drop("o_orderdate")
+        return stage(chained.withColumn("p_to", F.coalesce("p_to", open_end())).drop("o_orderdate"), "dated")
 
     def attribute(self, priority: str, value: str) -> DataFrame:
         """One dated attribute with its own column names."""

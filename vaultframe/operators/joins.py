@@ -8,6 +8,7 @@ merges, where adaptive execution splits a hot key.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,21 +86,31 @@ def tree_parent_clone(df: DataFrame, node: str, parent: str, clone: str, carry:
     return out.drop("__clone", "__parent")
 
 
-def _grid(df: DataFrame, period: tuple[str, str], other: DataFrame, other_from: str, days: int) -> DataFrame:
-    """One row per grid cell in which a row's overlap with ``other`` can begin."""
+def start_range(parts: list[tuple[DataFrame, str]]) -> tuple[Column, Column]:
+    """First and last finite start day over several tables, as a scalar subquery.
+
+    Any tables whose starts enclose those of the joined sides will do; the raw
+    satellites are the cheapest.
+    """
+    ends = [
+        df.filter(F.col(c) < open_end()).agg(F.min(c).alias("first"), F.max(c).alias("last")) for df, c in parts
+    ]
+    both = reduce(DataFrame.unionByName, ends)
+    reach = both.agg(F.struct(F.min("first").alias("first"), F.max("last").alias("last"))).scalar()
+    return reach.getField("first"), reach.getField("last")
+
+
+def _grid(df: DataFrame, period: tuple[str, str], reach: tuple[Column, Column], days: int) -> DataFrame:
+    """One row per grid cell in which an overlap of the row can begin."""
     start, end = F.col(period[0]), F.col(period[1])
-    starts = other.filter(F.col(other_from) < open_end())
-    first = starts.agg(F.min(other_from)).scalar()
-    last = starts.agg(F.max(other_from)).scalar()
 
     def cell(day: Column) -> Column:
         return F.floor(F.unix_date(day) / days).cast("int")
 
-    low = cell(F.greatest(start, first))
-    high = cell(F.greatest(start, F.least(end, last)))
-    cells = F.when(low <= high, F.sequence(low, high))
+    low = cell(F.greatest(start, reach[0]))
+    high = cell(F.greatest(start, F.least(end, reach[1])))
     kept = df.filter(start.isNotNull() & end.isNotNull())
-    return kept.withColumn("__cell", F.explode(cells))
+    return kept.withColumn("__cell", F.explode(F.when(low <= high, F.sequence(low, high))))
 
 
 def overlap_join(
@@ -110,6 +121,7 @@ def overlap_join(
     right_period: tuple[str, str],
     how: str = "inner",
     grid_days: int | None = 366,
+    reach: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Join rows of equal key whose date periods overlap; touching ends do not.
 
@@ -117,29 +129,24 @@ def overlap_join(
     the join is on key and cell. A pair is produced in exactly one cell, the one
     its common part starts in, so there are no duplicates, a hot key is spread
     over its cells, and only rows of the same stretch of time are compared. Open
-    ends reach no further than the last start on the other side. ``grid_days=None``
+    ends reach no further than the last start, which ``reach`` gives (see
+    :func:`start_range`; taken from both sides when absent). ``grid_days=None``
     joins on the key alone, for keys known to have few periods.
     """
     l_from, l_to = left_period
     r_from, r_to = right_period
     overlap = (F.col(r_to) > F.col(l_from)) & (F.col(r_from) < F.col(l_to))
     sides = {c: f"__k_{c}" for c in keys}
-    right_keyed = right.withColumnsRenamed(sides)
-    same_key = [F.col(c) == F.col(k) for c, k in sides.items()]
+    same_key = reduce(lambda a, b: a & b, [F.col(c) == F.col(k) for c, k in sides.items()])
+    other = right.withColumnsRenamed(sides)
     if grid_days is None:
-        condition = overlap
-        for part in same_key:
-            condition = part & condition
-        return left.join(right_keyed, condition, how).drop(*sides.values())
+        return left.join(other, same_key & overlap, how).drop(*sides.values())
 
+    reach = reach or start_range([(left, l_from), (right, r_from)])
     rows = left if how == "inner" else left.select(*keys, l_from, l_to).distinct()
-    gridded = _grid(rows, left_period, right, r_from, grid_days)
-    other = _grid(right_keyed, right_period, left, l_from, grid_days).withColumnRenamed("__cell", "__rcell")
+    rows = _grid(rows, left_period, reach, grid_days)
+    other = _grid(other, right_period, reach, grid_days).withColumnRenamed("__cell", "__rcell")
     common = F.floor(F.unix_date(F.greatest(l_from, r_from)) / grid_days)
-    condition = overlap & (F.col("__cell") == F.col("__rcell")) & (F.col("__cell") == common)
-    for part in same_key:
-        condition = part & condition
-    matches = gridded.join(other, condition).drop("__cell", "__rcell", *sides.values())
-    if how == "inner":
-        return matches
-    return left.join(matches, [*keys, l_from, l_to], "left")
+    same_cell = (F.col("__cell") == F.col("__rcell")) & (F.col("__cell") == common)
+    matches = rows.join(other, same_key & same_cell & overlap).drop("__cell", "__rcell", *sides.values())
+    return matches if how == "inner" else left.join(matches, [*keys, l_from, l_to], "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Hot keys: AQE splits a skewed side of a sort-merge join; forcing it lets Spark
 # pay one extra shuffle instead of leaving the hot key in a single task.
@@ -48,3 +48,14 @@ def work_dir(spark: SparkSession) -> str:
 def new_work_path(spark: SparkSession, label: str) -> str:
     """A path below the work folder that no earlier run has used."""
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the work folder and read it back.
+
+    Used where a result feeds several branches: it is computed once, the plan
+    behind it is cut, and a lost executor rereads files instead of recomputing.
+    """
+    path = new_work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
