@@ -83,9 +83,15 @@ def meter_timeline(
     latest = current(attributes, ["meter_key", "fname", "ab"])
     reads = eav_attribute(latest, ["meter_key"], read_type, "read")
     types = eav_attribute(latest, ["meter_key"], install_type, "typ")
-    pairs = paired_attributes(stage(reads, "reads"), stage(types, "types"), ("read", "typ"))
+    reads, types = stage(reads, "reads"), stage(types, "types")
+    pairs = paired_attributes(reads, types, ("read", "typ"))
     serials = current(equipment, ["eq_link_key"], run_dt).select("meter_key", F.col("device_id").alias("meter_num"))
-    rows = serials.join(spans, "meter_key").join(pairs, "meter_key", "left").drop("meter_key")
+    meters = stage(serials.join(spans, "meter_key"), "meters")
+    # A meter whose attributes never meet has no row at all; only a meter without
+    # any attribute is kept bare.
+    with_any = reads.select("meter_key").unionByName(types.select("meter_key")).distinct()
+    bare = meters.join(with_any, "meter_key", "left_anti")
+    rows = meters.join(pairs, "meter_key").unionByName(bare, allowMissingColumns=True).drop("meter_key")
     lines = array_timeline(
         rows,
         ["site_id", "meter_num"],
