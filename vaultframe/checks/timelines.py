@@ -150,7 +150,7 @@ def meter_rows(t: Tables):
         dates.day_text("p_from").alias("read_from"),
         dates.day_text("p_to").alias("read_to"),
     )
-    rows = meters.join(read_types, "site", "left")
+    rows = stage(meters.join(read_types, "site", "left"), "rows")
     return timeline.array_timeline(
         rows,
         ["site", "meter"],

@@ -7,6 +7,9 @@ what the earlier or later slices contribute, and the two are joined again on
 (key, slice). The summary of a key has one row per slice, so its size depends on
 the calendar and not on the data. The slice must be a function of the first
 ordering column, so that equal values never fall into different slices.
+
+The input is read twice, for the rows and for the summary: a stored table is
+simply scanned twice, a derived frame should be staged first.
 """
 
 from __future__ import annotations

@@ -83,19 +83,19 @@ def comms_cards(
     retired = retired.filter(not_deleted() & (F.col("inact") != "X") & F.col("stat").isin(*RETIRED))
     in_use = drop_matching(current(equipment, ["eq_link_key"], run_dt), retired.select("order_no").distinct(), ["order_no"])
     in_use = stage(in_use.select("equipment_key", "device_key", "module_type", "created"), "equipment")
+    usable = stage(active.select(F.col("equipment_key").alias("logical_key")).distinct(), "active")
     linked = current(card_links, ["salnk_key"], run_dt, period=("ab", "bis"), deleted="before")
     linked = linked.select(F.col("key1").alias("logical_key"), F.col("key2").alias("card_logical_key"), "ab", "bis")
 
     def group(kind: str) -> DataFrame:
         rows = current(groups, ["group_key"], run_dt, period=("ab", "bis"), pre=F.col("kombinat") == kind)
-        usable = active.select(F.col("equipment_key").alias("logical_key")).distinct()
         return rows.select("logical_key", F.col("equipment_key").alias("item_key")).join(usable, "logical_key", "left_semi")
 
     meters = group("Z").join(linked, "logical_key", "left").join(
         in_use.select(F.col("equipment_key").alias("item_key"), "device_key"), "item_key"
     )
     meters = first_per_key(meters, ["device_key"], newest("ab", "item_key", "card_logical_key"))
-    meters = meters.withColumnRenamed("item_key", "meter_key")
+    meters = stage(meters.withColumnRenamed("item_key", "meter_key"), "card_meters")
 
     cards = group("S").withColumnRenamed("logical_key", "card_logical_key").join(
         in_use.select(

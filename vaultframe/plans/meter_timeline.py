@@ -92,6 +92,7 @@ def meter_timeline(
     with_any = reads.select("meter_key").unionByName(types.select("meter_key")).distinct()
     bare = meters.join(with_any, "meter_key", "left_anti")
     rows = meters.join(pairs, "meter_key").unionByName(bare, allowMissingColumns=True).drop("meter_key")
+    rows = stage(rows, "rows")
     lines = array_timeline(
         rows,
         ["site_id", "meter_num"],
