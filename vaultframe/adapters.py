@@ -103,7 +103,7 @@ class Tables:
             F.col("ts").alias("extract_ts"),
         )
         chained = windows.next_value(
-            rows, ["user_id", "fname"], ["extract_ts"], {"bis": "ab"}, windows.by_month("extract_ts")
+            rows, ["user_id", "fname"], ["extract_ts"], {"bis": "ab"}, windows.by_hour("extract_ts")
         )
         return chained.withColumn("bis", F.coalesce("bis", F.lit(OPEN_END_TEXT)))
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vaultframe.adapters import Tables
+from vaultframe.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,7 +64,7 @@ def check(key: str, sql: str | None = None):
     def wrap(function: Callable[[Tables], DataFrame]):
         if key in QUERIES:
             raise ValueError(f"duplicate key {key}")
-        QUERIES[key] = lambda spark, sf_dir: function(Tables(spark, sf_dir))
+        QUERIES[key] = lambda spark, sf_dir: function(Tables(tune(spark), sf_dir))
         GROUPS[key] = function.__module__.rsplit(".", 1)[-1]
         if sql is not None:
             ORACLES[key] = sql

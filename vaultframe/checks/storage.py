@@ -124,7 +124,9 @@ def typed_table(t: Tables):
 
 @check("sink_truncate", "SELECT s_suppkey, s_name FROM supplier WHERE false")
 def sink_truncate(t: Tables):
-    name, path = unique("emptied"), new_work_path(t.spark, "truncate")
+    catalog = scan.VaultCatalog(t.spark, unique("tst"))
+    catalog.create_schema("transform", new_work_path(t.spark, "transform"))
+    name = catalog.name("transform", "emptied")
     sink.rebuild_table(t.supplier.select("s_suppkey", "s_name"), name)
     return sink.truncate_table(t.spark, name)
 

@@ -56,7 +56,7 @@ def clean_slices_min_end(t: Tables):
 )
 def closed_end(t: Tables):
     rows = t.events.select("event_id", "user_id", "ts")
-    rows = windows.next_value(rows, ["user_id"], ["ts"], {"eff_end": "ts"}, windows.by_month("ts"))
+    rows = windows.next_value(rows, ["user_id"], ["ts"], {"eff_end": "ts"}, windows.by_hour("ts"))
     return rows.select(
         "event_id", dates.closed_end("eff_end", 1).alias("end_less_1"), dates.closed_end("eff_end", 0).alias("end_less_0")
     )
@@ -158,7 +158,7 @@ def meter_rows(t: Tables):
         ["read_to", "removal"],
         "removal",
         ["read_from"],
-        F.substring("min_to", 1, 4),
+        F.substring("min_to", 1, 6),
     ).select("site", "meter", "read_type", "install", "removal", "timeline_from", "timeline_to")
 
 

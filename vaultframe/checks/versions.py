@@ -193,7 +193,7 @@ def top2_values(t: Tables):
 def win_row_number(t: Tables):
     rows = t.events.select("event_id", "user_id", "ts")
     return windows.row_numbers(
-        rows, ["user_id"], ["ts", "event_id"], "rn", windows.by_month("ts"), ascending=False
+        rows, ["user_id"], ["ts", "event_id"], "rn", windows.by_hour("ts"), ascending=False
     ).select("event_id", "user_id", "rn")
 
 
@@ -216,7 +216,7 @@ def win_rank(t: Tables):
 def win_lead(t: Tables):
     rows = t.events.select("event_id", "user_id", "event_type", "ts")
     wanted = {"next_ts": "ts", "next_type": "event_type"}
-    return windows.next_value(rows, ["user_id"], ["ts"], wanted, windows.by_month("ts")).select(
+    return windows.next_value(rows, ["user_id"], ["ts"], wanted, windows.by_hour("ts")).select(
         "event_id", "next_ts", "next_type"
     )
 
@@ -229,7 +229,7 @@ def win_lead(t: Tables):
 def win_lag(t: Tables):
     rows = t.events.select("event_id", "user_id", "value", "ts")
     wanted = {"last_ts": "ts", "last_value": "value"}
-    return windows.previous_value(rows, ["user_id"], ["ts"], wanted, windows.by_month("ts")).select(
+    return windows.previous_value(rows, ["user_id"], ["ts"], wanted, windows.by_hour("ts")).select(
         "event_id", "last_ts", "last_value"
     )
 

@@ -61,12 +61,16 @@ def join_mapped(df: DataFrame, other: DataFrame, keys: list[str], mapped: Column
 
 
 def default_branch(df: DataFrame, matches: DataFrame, keys: list[str], defaults: Mapping[str, object]) -> DataFrame:
-    """Matched rows, plus every unmatched row once with default values."""
-    matched = df.join(matches, keys)
-    unmatched = df.join(matches.select(*keys), keys, "left_anti")
-    for name, value in defaults.items():
-        unmatched = unmatched.withColumn(name, F.lit(value).cast(matched.schema[name].dataType))
-    return matched.unionByName(unmatched)
+    """Matched rows, plus every unmatched row once with default values.
+
+    One left join with a marker does both branches.
+    """
+    joined = df.join(matches.withColumn("__hit", F.lit(True)), keys, "left")
+    filled = {
+        name: F.when(F.col("__hit"), F.col(name)).otherwise(F.lit(value).cast(joined.schema[name].dataType))
+        for name, value in defaults.items()
+    }
+    return joined.withColumns(filled).drop("__hit")
 
 
 def ref_filter_join(df: DataFrame, ref: DataFrame, key: str) -> DataFrame:

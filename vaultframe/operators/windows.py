@@ -1,7 +1,7 @@
 """Ordered windows that stay parallel inside one hot key.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task. Here
-the key's rows are cut into slices of the ordering column (a month by default):
+the key's rows are cut into slices of the ordering column, such as its month:
 the window runs per (key, slice), one small summary row per (key, slice) carries
 what the earlier or later slices contribute, and the two are joined again on
 (key, slice). The summary of a key has one row per slice, so its size depends on
@@ -27,6 +27,11 @@ def by_month(col: str) -> Column:
     return F.year(col) * 12 + F.month(col)
 
 
+def by_hour(col: str) -> Column:
+    """Slice of a timestamp column: its hour, for keys with many rows a day."""
+    return F.unix_date(F.col(col).cast("date")) * 24 + F.hour(col)
+
+
 def by_range(col: str, width: float) -> Column:
     """Slice of a numeric column: fixed-width range."""
     return F.floor(F.col(col) / width)

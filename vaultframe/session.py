@@ -7,18 +7,29 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Hot keys: AQE splits a skewed side of a sort-merge join; forcing it lets Spark
-# pay one extra shuffle instead of leaving the hot key in a single task.
-RECOMMENDED = {
+# Hot keys: AQE splits a skewed side of a sort-merge join. Forcing it covers the
+# case where a window or aggregate on the same key follows the join: when the key
+# is hot, Spark then adds a shuffle on the full key instead of keeping the hot
+# key's rows in one task; when it is not, nothing changes.
+SKEW = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+RECOMMENDED = {
+    **SKEW,
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Switch the skew handling on in a session built elsewhere."""
+    for name, value in SKEW.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
     """A session with the recommended settings; ``extra`` wins over them."""
     builder = SparkSession.builder.appName(app)
