@@ -86,13 +86,16 @@ def meter_timeline(
     reads, types = stage(reads, "reads"), stage(types, "types")
     pairs = paired_attributes(reads, types, ("read", "typ"))
     serials = current(equipment, ["eq_link_key"], run_dt).select("meter_key", F.col("device_id").alias("meter_num"))
-    meters = stage(serials.join(spans, "meter_key"), "meters")
     # A meter whose attributes never meet has no row at all; only a meter without
     # any attribute is kept bare.
-    with_any = reads.select("meter_key").unionByName(types.select("meter_key")).distinct()
-    bare = meters.join(with_any, "meter_key", "left_anti")
-    rows = meters.join(pairs, "meter_key").unionByName(bare, allowMissingColumns=True).drop("meter_key")
-    rows = stage(rows, "rows")
+    some = reads.select("meter_key").unionByName(types.select("meter_key")).distinct()
+    rows = (
+        serials.join(spans, "meter_key")
+        .join(some.withColumn("__some", F.lit(True)), "meter_key", "left")
+        .join(pairs.withColumn("__pair", F.lit(True)), "meter_key", "left")
+        .filter(F.col("__pair").isNotNull() | F.col("__some").isNull())
+    )
+    rows = stage(rows.drop("meter_key", "__some", "__pair"), "rows")
     lines = array_timeline(
         rows,
         ["site_id", "meter_num"],

@@ -11,7 +11,6 @@ from vaultframe.operators.joins import resolve
 from vaultframe.operators.timeline import span
 from vaultframe.operators.versions import current_version, newest, not_deleted
 from vaultframe.plans.common import current, latest_first
-from vaultframe.session import stage
 
 
 def meter_spans(
@@ -32,7 +31,6 @@ def meter_spans(
     by_start = newest("ab", "extract_ts", "seq")
     held = current(holdings, ["link_key"], order=by_start).select("link_key", "ab", "bis")
     held = held.join(equipment_links, "link_key").select(F.col("site_key").alias("install_key"), "equipment_key", "ab", "bis")
-    held = stage(held, "held")
 
     def group(sat: DataFrame) -> DataFrame:
         is_kind = F.col("kombinat") == kind
