@@ -117,52 +117,37 @@ def rank_slices(t: Tables):
     return timeline.rank_slices(sliced(t), ["site"], newest("urgent_from", "high_from"))
 
 
-METERS_SQL = """SELECT o_custkey AS site, l_partkey AS meter, min(strftime(l_shipdate, '%Y%m%d')) AS install,
-    max(strftime(l_shipdate + to_days(CAST(l_quantity AS INT)), '%Y%m%d')) AS removal
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL"""
-READ_TYPE_SQL = """SELECT site, 'M' || (val % 4) AS read_type, strftime(p_from, '%Y%m%d') AS read_from,
-    strftime(p_to, '%Y%m%d') AS read_to FROM dated WHERE attribute = '1-URGENT'"""
 ARRAY_SQL = {
-    "meters": METERS_SQL,
-    "read_types": READ_TYPE_SQL,
-    "rows0": """SELECT m.*, read_type, read_from, read_to, list_min([read_to, removal]) AS min_to
-        FROM meters m LEFT JOIN read_types r ON m.site = r.site""",
-    "rows1": """SELECT * FROM rows0 WHERE coalesce(read_from, '0') <= coalesce(min_to, '99999999')
-        AND coalesce(install, '0') <= coalesce(min_to, '99999999')""",
-    "rows2": """SELECT *, lag(min_to) OVER (PARTITION BY site, meter ORDER BY min_to NULLS FIRST, read_from NULLS FIRST) AS last_to,
-        list_sort([read_from, install], 'ASC', 'NULLS LAST') AS a FROM rows1""",
-    "rows3": """SELECT site, meter, read_type, install, removal, CASE WHEN a[1] > last_to THEN a[1] WHEN a[2] > last_to THEN a[2]
-        ELSE a[1] END AS timeline_from, CASE WHEN min_to > removal THEN removal ELSE min_to END AS timeline_to FROM rows2""",
+    "rows0": """SELECT *, list_min([bis, removal]) AS min_to FROM (
+        SELECT l_partkey AS site, l_suppkey AS meter, l_orderkey, l_linenumber, ab, bis, min(ab) OVER w AS install, max(bis) OVER w AS removal
+        FROM lsat WINDOW w AS (PARTITION BY l_partkey, l_suppkey))""",
+    "rows1": "SELECT * FROM rows0 WHERE ab <= min_to AND install <= min_to",
+    "rows2": """SELECT *, lag(min_to) OVER (PARTITION BY site, meter ORDER BY min_to, ab, l_orderkey, l_linenumber) AS last_to,
+        list_sort([ab, install], 'ASC', 'NULLS LAST') AS a FROM rows1""",
+    "rows3": """SELECT site, meter, l_orderkey, l_linenumber, install, removal, CASE WHEN a[1] > last_to THEN a[1]
+        WHEN a[2] > last_to THEN a[2] ELSE a[1] END AS timeline_from,
+        CASE WHEN min_to > removal THEN removal ELSE min_to END AS timeline_to FROM rows2""",
 }
 
 
 def meter_rows(t: Tables):
-    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_shipdate", "l_quantity")
-    removal = F.date_add(F.col("l_shipdate").cast("date"), F.col("l_quantity").cast("int"))
-    meters = (
-        lines.join(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey")
-        .groupBy(F.col("o_custkey").alias("site"), F.col("l_partkey").alias("meter"))
-        .agg(dates.day_text(F.min("l_shipdate")).alias("install"), dates.day_text(F.max(removal)).alias("removal"))
+    lines = t.lsat.select(
+        F.col("l_partkey").alias("site"), F.col("l_suppkey").alias("meter"), "l_orderkey", "l_linenumber", "ab", "bis"
     )
-    read_types = t.dated.filter("attribute = '1-URGENT'").select(
-        "site",
-        F.concat(F.lit("M"), (F.col("val") % 4).cast("string")).alias("read_type"),
-        dates.day_text("p_from").alias("read_from"),
-        dates.day_text("p_to").alias("read_to"),
-    )
-    rows = stage(meters.join(read_types, "site", "left"), "rows")
+    spans = timeline.span(lines, ["site", "meter"], "ab", "bis").withColumnsRenamed({"ab": "install", "bis": "removal"})
+    rows = stage(lines.join(spans, ["site", "meter"]), "rows")
     return timeline.array_timeline(
         rows,
         ["site", "meter"],
-        ["read_from", "install"],
-        ["read_to", "removal"],
+        ["ab", "install"],
+        ["bis", "removal"],
         "removal",
-        ["read_from"],
+        ["ab", "l_orderkey", "l_linenumber"],
         F.substring("min_to", 1, 6),
-    ).select("site", "meter", "read_type", "install", "removal", "timeline_from", "timeline_to")
+    ).select("site", "meter", "l_orderkey", "l_linenumber", "install", "removal", "timeline_from", "timeline_to")
 
 
-@check("array_timeline", with_roles("SELECT * FROM rows3", "dated", **ARRAY_SQL))
+@check("array_timeline", with_roles("SELECT * FROM rows3", "lsat", **ARRAY_SQL))
 def array_timeline(t: Tables):
     return meter_rows(t)
 

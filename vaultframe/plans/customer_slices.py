@@ -150,25 +150,22 @@ def customer_slices(
     ]
     cuts = stage(timeline(parts, ["site_id"], min_end), "slices")
     reach = start_range([(cuts, "from_dt"), *[(df, cols[0]) for df, cols in parts]])
-    sliced = time_slice(
-        cuts,
-        ["site_id"],
-        [
-            (spine.select("site_id", "id_from", "id_to").distinct(), ("id_from", "id_to"), "inner"),
-            (contracts, ("contract_from", "contract_to"), "left"),
-            (name, ("name_from", "name_to"), "left"),
-        ],
-        reach=reach,
-    )
     slice_key = ["site_id", "from_dt", "to_dt"]
-    for frame, period, depends_on in (
-        (address, ("address_from", "address_to"), ["partner_key"]),
-        (phone, ("tel_from", "tel_to"), ["partner_key", "address_key"]),
-    ):
+
+    def attach(out: DataFrame, frame: DataFrame, period: tuple[str, str], depends_on: tuple[str, ...] = (), how: str = "left") -> DataFrame:
         matches = overlap_join(cuts, frame, ["site_id"], ("from_dt", "to_dt"), period, "inner", reach=reach)
-        sliced = sliced.join(matches, [*slice_key, *depends_on], "left")
-    best = rank_slices(sliced.distinct(), ["site_id", "from_dt"], newest("name_from", "address_eff"))
-    best = best.filter(F.col("contract").isNotNull())
+        return out.join(matches, [*slice_key, *depends_on], how)
+
+    # The best row of a slice has the latest name and, under it, the latest
+    # address. Picking each as soon as it is attached keeps combinations small.
+    rows = time_slice(
+        cuts, ["site_id"], [(spine.select("site_id", "id_from", "id_to").distinct(), ("id_from", "id_to"), "inner")], reach=reach
+    ).select(*slice_key).distinct()
+    rows = rank_slices(attach(rows, name, ("name_from", "name_to")), slice_key, newest("name_from"))
+    rows = attach(rows, address, ("address_from", "address_to"), ("partner_key",))
+    rows = rank_slices(rows, slice_key, newest("address_eff"))
+    rows = attach(rows, phone, ("tel_from", "tel_to"), ("partner_key", "address_key"))
+    best = attach(rows, contracts, ("contract_from", "contract_to"), how="inner")
     start = F.col("from_dt") if floor is None else floor_date("from_dt", floor)
     return best.select(
         "site_id",

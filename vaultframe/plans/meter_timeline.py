@@ -73,6 +73,7 @@ def meter_timeline(
     sites = external.join(installed, "internal_key")
     held = current(holdings, ["link_key", "ab"], run_dt).select("link_key", "ab", "bis").join(equipment_links, "link_key")
     held = held.select(F.col("site_key").alias("install_key"), F.col("equipment_key").alias("logical_key"), "ab", "bis")
+    held = span(held, ["install_key", "logical_key"], "ab", "bis")
     placed = stage(sites.join(held, "install_key").select("site_id", "id_from", "id_to", "logical_key", "ab", "bis"), "placed")
 
     groups = current(meter_groups, ["group_key", "ab"], run_dt, pre=F.col("kombinat") == kind)
@@ -125,6 +126,7 @@ def meter_timeline(
     gap = leading_gap(gap, ["site_id"], "opened", "first")
     gap = feed(gap, F.lit("0"), none, none, F.col("from_dt"), F.col("to_dt"))
     other = current(device_groups, ["group_key", "ab"], run_dt).select("logical_key", "device_id", "category", "ab", "bis")
+    other = span(other, ["logical_key", "device_id", "category"], "ab", "bis")
     other = placed.select("site_id", "logical_key").distinct().join(other, "logical_key")
     other = span(other, ["site_id", "device_id", "category"], "ab", "bis")
     other = feed(other, F.col("device_id"), none, none, parse_day("ab"), parse_day("bis"))

@@ -31,6 +31,8 @@ def meter_spans(
     by_start = newest("ab", "extract_ts", "seq")
     held = current(holdings, ["link_key"], order=by_start).select("link_key", "ab", "bis")
     held = held.join(equipment_links, "link_key").select(F.col("site_key").alias("install_key"), "equipment_key", "ab", "bis")
+    # Folded before the joins: earliest and latest compose, pairs of periods need not arise.
+    held = span(held, ["install_key", "equipment_key"], "ab", "bis")
 
     def group(sat: DataFrame) -> DataFrame:
         is_kind = F.col("kombinat") == kind
