@@ -94,7 +94,7 @@ def register_sql(first: bool) -> str:
         **SITE_SQL,
         s=f"""SELECT cust, ' ' || st AS status FROM (SELECT *, row_number() OVER (PARTITION BY cust ORDER BY ab DESC, extract_ts DESC, seq DESC) AS rn
               FROM ov WHERE {NOT_BLANK}) WHERE rn = 1 AND change_type <> 'D' AND st IN ('F', 'O') AND price > 100000""",
-        e="""SELECT DISTINCT cust, 'EASTERN ' || pri AS service_id FROM (SELECT *, row_number() OVER (PARTITION BY cust, pri
+        e="""SELECT DISTINCT cust, 'NORTH ' || pri AS service_id FROM (SELECT *, row_number() OVER (PARTITION BY cust, pri
               ORDER BY extract_ts DESC, seq DESC) AS rn FROM ov) WHERE rn = 1 AND st = 'F' AND pri < '4' AND price > 250000""",
         m=f"""SELECT cust, meter_num, min(ab) AS ab, max(bis) AS bis FROM (
               SELECT h.cust, ' P' || g.l_partkey AS meter_num, h.ab, h.bis FROM h JOIN ({group_sql('F', first)}) g ON g.l_orderkey = h.seq
@@ -109,13 +109,13 @@ def register(t: Tables, first: bool):
         service_link_key=key("S", "cust"),
         contract=F.col("pri"),
         service=F.when(F.col("st") == "F", "LNSP").otherwise("FRMP"),
-        service_id=F.concat(F.when(F.col("pri") < "4", "EASTERN ").otherwise("OTHER "), F.col("pri")),
+        service_id=F.concat(F.when(F.col("pri") < "4", "NORTH ").otherwise("OTHER "), F.col("pri")),
         service_end=F.when(F.col("price") > 250000, OPEN_END_TEXT).otherwise("20000101"),
         site_key=key("I", "cust"),
     )
     return site_register(
         v.ids, v.status, services, v.installs, v.holdings, v.device_groups, v.meter_groups, v.equipment,
-        v.site_links, v.equipment_links, v.hub_site, statuses=("F", "O"), filter_kind_first=first,
+        v.site_links, v.equipment_links, v.hub_site, role_prefix="NORTH%", statuses=("F", "O"), filter_kind_first=first,
     )
 
 

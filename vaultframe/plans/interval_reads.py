@@ -38,7 +38,7 @@ def interval_reads(
     hub_channel: DataFrame,
     *,
     run_dt: date | str | datetime,
-    org_name: str = "ANS",
+    org_name: str,
     hours: int | None = None,
     param: str = "Data Stream Suffix",
     patterns: tuple[str, ...] = ("%B%", "%E%"),

@@ -62,9 +62,9 @@ def site_register(
     equipment_links: DataFrame,
     hub_site: DataFrame,
     *,
+    role_prefix: str,
     statuses: tuple[str, ...] = ("A", "D"),
     service: str = "LNSP",
-    role_prefix: str = "EASTERN%",
     filter_kind_first: bool = True,
 ) -> DataFrame:
     """All sites with what is known of them; everything but the site is optional."""
