@@ -73,3 +73,19 @@ def test_tree_keeps_nodes_without_clone_or_parent(spark, rows):
     tree = spark.createDataFrame([(1, None, None, "root"), (2, 1, 1, "kid"), (3, 9, None, "lost")], "id INT, p INT, c INT, name STRING")
     out = joins.tree_parent_clone(tree, "id", "p", "c", ["name"])
     assert set(rows(out, "id", "clone_name", "parent_name")) == {(1, None, None), (2, "root", "root"), (3, None, None)}
+
+
+def test_a_misread_date_costs_only_its_own_row(spark):
+    """Open ends and far dates take a bounded number of cells, and none of another key's."""
+    open_rows = spark.range(200).selectExpr("id AS k", "DATE '2001-02-03' AS f", "DATE '9999-12-31' AS t")
+    bad = spark.sql("SELECT 1000L AS k, DATE '9999-12-30' AS f, DATE '9999-12-31' AS t UNION ALL SELECT 1001L, DATE '0001-01-01', DATE '9999-12-31'")
+
+    def grid_rows(df):
+        return joins._grid(df, ("f", "t"), 366, 0).count()
+
+    before = grid_rows(open_rows)
+    assert before <= 200 * 80
+    assert grid_rows(open_rows.union(bad)) - before <= 2 * 80
+    both = open_rows.union(bad)
+    other = both.selectExpr("k", "f AS g", "t AS u")
+    assert joins.overlap_join(both, other, ["k"], ("f", "t"), ("g", "u")).count() == 202

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from vaultframe.adapters import Tables
+from vaultframe.checks import registry
 from vaultframe.operators import versions
 from vaultframe.operators.versions import newest
 
@@ -29,7 +30,7 @@ p_components p_feed_status p_asset_key_match p_site_substation
 
 def test_every_surveyed_operator_is_registered_with_sql():
     assert not set(SURVEY_KEYS) - set(entry.queries())
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
 
 
 def plan(df) -> str:

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 
 from vaultframe.plans.comms_fault import load_comms_faults
-from vaultframe.session import new_work_path, stage, work_dir
+from vaultframe.session import new_work_path, run_folder, stage, work_dir
 from vaultframe.sources import scan, sink
 
 
@@ -22,14 +23,31 @@ def test_replace_run_is_idempotent_and_empties_a_day(spark, runs, rows):
     def stored():
         return rows(spark.read.schema("id INT, run_date DATE").parquet(path), "id")
 
-    sink.replace_run(runs, path, "run_date", "2024-01-01")
-    sink.replace_run(runs, path, "run_date", "2024-01-02")
-    sink.replace_run(runs, path, "run_date", "2024-01-02")
+    sink.replace_run(runs.filter("id = 1"), path, "run_date", "2024-01-01")
+    second = runs.filter("id > 1")
+    sink.replace_run(second, path, "run_date", "2024-01-02")
+    sink.replace_run(second, path, "run_date", "2024-01-02")
     assert stored() == [(1,), (2,), (3,)]
     sink.replace_run(runs.filter("id < 0"), path, "run_date", "2024-01-02")
     assert stored() == [(1,)]
 
 
+def test_a_row_of_another_run_fails_the_write(spark, runs):
+    path = new_work_path(spark, "runs")
+    with pytest.raises(Exception, match="another run"):
+        sink.replace_run(runs, path, "run_date", "2024-01-02")
+    sink.write_runs(runs, path, "run_date")
+    sink.write_runs(runs.filter("id = 2"), path, "run_date")
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2]
+
+
+def test_run_folder_is_dropped(spark):
+    with run_folder(spark) as folder:
+        df = stage(spark.range(3), "three")
+        assert folder in df.inputFiles()[0] and df.count() == 3
+    assert not Path(folder.removeprefix("file:")).exists()
+
+
 def test_fault_load_replaces_its_day(spark, rows):
     path = new_work_path(spark, "faults")
     faults = spark.createDataFrame([("d1", date(2024, 1, 2))], "device_key STRING, run_date DATE")

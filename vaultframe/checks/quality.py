@@ -10,7 +10,8 @@ from vaultframe.functions.keys import audit_hash, hash_key
 from vaultframe.operators import quality, versions
 from vaultframe.operators.versions import newest
 
-COUNTED = ["customer", "orders", "lineitem", "part", "supplier", "events", "documents", "labels", "pages", "conversations"]
+COUNTED = """region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels
+conversations""".split()
 
 
 @check("count_tables", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in COUNTED))

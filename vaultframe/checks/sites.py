@@ -276,6 +276,11 @@ SLICE_SQL = {
             ORDER BY extract_ts DESC, seq DESC) AS rn FROM ov WHERE pri = '2-HIGH' AND price > 50000 AND {BEFORE_RUN})
         WHERE rn = 1 AND change_type <> 'D' AND cust IN (SELECT site FROM nm)""",
     "ph": f"""SELECT cust AS site, 'T' || seq AS tel_number1, tel2 AS tel_number2, 'C' || seq AS cons_number, extract_ts::DATE AS t_from,
+        coalesce(lead(extract_ts::DATE) OVER (PARTITION BY cust ORDER BY extract_ts, seq), DATE '9999-12-31') AS t_to FROM (
+        SELECT *, lead('T' || seq) OVER w AS tel2 FROM ov WHERE pri = '3-MEDIUM' AND {BEFORE_RUN}
+        WINDOW w AS (PARTITION BY cust ORDER BY CASE WHEN price > 250000 THEN 'X' ELSE ' ' END DESC, 'C' || seq DESC, seq DESC))
+        WHERE change_type <> 'D' AND cust IN (SELECT site FROM ad)""",
+    "first_ph": f"""SELECT cust AS site, 'T' || seq AS tel_number1, tel2 AS tel_number2, 'C' || seq AS cons_number, extract_ts::DATE AS t_from,
         DATE '9999-12-31' AS t_to FROM (
         SELECT *, lead('T' || seq) OVER w AS tel2, row_number() OVER w AS rn FROM ov WHERE pri = '3-MEDIUM' AND {BEFORE_RUN}
         WINDOW w AS (PARTITION BY cust ORDER BY CASE WHEN price > 250000 THEN 'X' ELSE ' ' END DESC, 'C' || seq DESC, seq DESC))
@@ -360,6 +365,14 @@ def p_customer_slices(t: Tables):
     return slices_of(t)
 
 
+@check(
+    "p_customer_slices_first_phone",
+    with_roles(slice_sql("from_dt"), **{**SLICE_SQL, "ph": SLICE_SQL["first_ph"]}),
+)
+def p_customer_slices_first_phone(t: Tables):
+    return slices_of(t, phone_rule="first")
+
+
 @check(
     "p_customer_slices_floor",
     with_roles(

@@ -81,17 +81,19 @@ def sink_rebuild(t: Tables):
 
 @check(
     "sink_replace_run",
-    """SELECT event_id, value, ts::DATE AS run_date FROM events WHERE ts < TIMESTAMP '2024-01-03'
-       UNION ALL SELECT event_id, value + 1, ts::DATE FROM events WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-04'""",
+    """SELECT event_id, value + CASE WHEN ts::DATE = DATE '2024-01-03' THEN 1 ELSE 0 END AS value, ts::DATE AS run_date
+       FROM events WHERE ts::DATE <> DATE '2024-01-04'""",
 )
 def sink_replace_run(t: Tables):
-    path = new_work_path(t.spark, "runs")
+    """All runs are loaded, then one is replaced and one emptied; the catalog table sees both."""
+    path, name = new_work_path(t.spark, "runs"), unique("runs")
+    t.spark.sql(f"CREATE TABLE {name} (event_id BIGINT, value DOUBLE, run_date DATE) USING parquet PARTITIONED BY (run_date) LOCATION '{path}'")
     rows = t.events.select("event_id", "value", F.col("ts").cast("date").alias("run_date"))
-    for day in ("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"):
-        sink.replace_run(rows, path, "run_date", day)
-    sink.replace_run(rows.withColumn("value", F.col("value") + 1), path, "run_date", "2024-01-03")
-    sink.replace_run(rows.filter("event_id < 0"), path, "run_date", "2024-01-04")
-    return t.spark.read.schema("event_id BIGINT, value DOUBLE, run_date DATE").parquet(path)
+    sink.write_runs(rows, path, "run_date", name)
+    third = rows.filter("run_date = DATE '2024-01-03'").withColumn("value", F.col("value") + 1)
+    sink.replace_run(third, path, "run_date", "2024-01-03", name)
+    sink.replace_run(rows.filter("run_date = DATE '2024-01-04' AND event_id < 0"), path, "run_date", "2024-01-04", name)
+    return t.spark.table(name)
 
 
 DEVICE_EVENT = """parent_key CHAR(40), event_id BIGINT, event_type VARCHAR(20), event_value DOUBLE,
@@ -122,13 +124,26 @@ def typed_table(t: Tables):
     return sink.fill_table(rows, spec)
 
 
-@check("sink_truncate", "SELECT s_suppkey, s_name FROM supplier WHERE false")
+@check("sink_truncate", "SELECT count(*) AS before, 0::BIGINT AS after, count(*) AS refilled FROM supplier")
 def sink_truncate(t: Tables):
     catalog = scan.VaultCatalog(t.spark, unique("tst"))
     catalog.create_schema("transform", new_work_path(t.spark, "transform"))
     name = catalog.name("transform", "emptied")
-    sink.rebuild_table(t.supplier.select("s_suppkey", "s_name"), name)
-    return sink.truncate_table(t.spark, name)
+    suppliers = t.supplier.select("s_suppkey", "s_name")
+    counted = [sink.rebuild_table(suppliers, name).count(), sink.truncate_table(t.spark, name).count()]
+    suppliers.write.insertInto(name)
+    rows = t.spark.table(name).agg(F.count(F.lit(1)).alias("refilled"))
+    return rows.select(F.lit(counted[0]).cast("long").alias("before"), F.lit(counted[1]).cast("long").alias("after"), "refilled")
+
+
+@check("compact_partitioned", "SELECT event_id, value, event_type FROM events")
+def compact_partitioned(t: Tables):
+    name = unique("parts")
+    t.events.select("event_id", "value", "event_type").repartition(6).write.partitionBy("event_type").option(
+        "path", new_work_path(t.spark, "parts")
+    ).saveAsTable(name)
+    sink.compact_tables(t.spark, [name], new_work_path(t.spark, "compacted"))
+    return t.spark.table(name)
 
 
 @check("compact_rows", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vaultframe.adapters import Tables
 from vaultframe.checks.registry import check, with_roles
 from vaultframe.functions import dates
-from vaultframe.operators import joins, timeline, windows
+from vaultframe.operators import timeline, windows
 from vaultframe.operators.versions import newest
 from vaultframe.session import stage
 
@@ -78,8 +78,7 @@ def sliced(t: Tables):
     cuts = stage(timeline.timeline([(t.dated, PERIOD)], ["site"]), "slices")
     parts = [("5-LOW", "low", "inner"), ("1-URGENT", "urgent", "left"), ("2-HIGH", "high", "left")]
     attributes = [(t.attribute(p, n), (f"{n}_from", f"{n}_to"), how) for p, n, how in parts]
-    reach = joins.start_range([(t.dated, "p_from"), (t.dated.filter(F.col("p_to") < dates.open_end()), "p_to")])
-    return timeline.time_slice(cuts, ["site"], attributes, reach=reach)
+    return timeline.time_slice(cuts, ["site"], attributes)
 
 
 @check("time_slice", with_roles(SLICED_SQL, "dated", **CUTTING, **ATTRIBUTES))

@@ -13,8 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultframe.functions.dates import open_end
-
 
 def resolve(df: DataFrame, hub: DataFrame, on: str, hub_key: str, columns: Mapping[str, str], how: str = "inner") -> DataFrame:
     """Bring hub columns to a key column: ``columns`` maps hub column to output name."""
@@ -90,31 +88,59 @@ def tree_parent_clone(df: DataFrame, node: str, parent: str, clone: str, carry:
     return out.drop("__clone", "__parent")
 
 
-def start_range(parts: list[tuple[DataFrame, str]]) -> tuple[Column, Column]:
-    """First and last finite start day over several tables, as a scalar subquery.
+#: Each level's cells hold this many of the level below; the top level reaches past the year 9999.
+FANOUT = 8
+LEVELS = 5
+
+
+def _cell(day: Column, days: int) -> Column:
+    return F.floor(F.unix_date(day) / days).cast("int")
 
-    Any tables whose starts enclose those of the joined sides will do; the raw
-    satellites are the cheapest.
-    """
-    ends = [
-        df.filter(F.col(c) < open_end()).agg(F.min(c).alias("first"), F.max(c).alias("last")) for df, c in parts
-    ]
-    both = reduce(DataFrame.unionByName, ends)
-    reach = both.agg(F.struct(F.min("first").alias("first"), F.max("last").alias("last"))).scalar()
-    return reach.getField("first"), reach.getField("last")
 
+def _point_cells(day: Column, days: int) -> Column:
+    """The cell a day is in, on every level."""
+    cell = _cell(day, days)
+    levels = [F.struct(F.lit(k).alias("level"), F.floor(cell / FANOUT**k).cast("int").alias("cell")) for k in range(LEVELS)]
+    return F.array(*levels)
 
-def _grid(df: DataFrame, period: tuple[str, str], reach: tuple[Column, Column], days: int) -> DataFrame:
-    """One row per grid cell in which an overlap of the row can begin."""
+
+def _period_cells(start: Column, end: Column, days: int) -> Column:
+    """The fewest cells that cover a period: on each level those inside it whose parent is not.
+
+    Some dozen cells at most a level whatever the length, so an open end or a
+    misread date costs its own row that many cells and no other row any.
+    """
+    low, high = _cell(start, days), _cell(F.greatest(start, end), days)
+    inside = [
+        (F.ceil(low / FANOUT**k).cast("int"), (F.floor((high + 1) / FANOUT**k) - 1).cast("int")) for k in range(LEVELS)
+    ]
+    parts = []
+    for k, (first, last) in enumerate(inside):
+        def run(a: Column, z: Column, k: int = k) -> Column:
+            cells = F.when(a <= z, F.sequence(a, z)).otherwise(F.array().cast("array<int>"))
+            return F.transform(cells, lambda c: F.struct(F.lit(k).alias("level"), c.alias("cell")))
+
+        if k + 1 == LEVELS:
+            parts.append(run(first, last))
+            continue
+        up_first, up_last = inside[k + 1]
+        none_above = up_first > up_last
+        parts.append(run(first, F.when(none_above, last).otherwise(F.least(last, FANOUT * up_first - 1))))
+        parts.append(run(F.when(none_above, last + 1).otherwise(F.greatest(first, FANOUT * up_last + FANOUT)), last))
+    return F.concat(*parts)
+
+
+def _grid(df: DataFrame, period: tuple[str, str], days: int, period_side: int) -> DataFrame:
+    """One row per cell: the period's cells on one side, those of its start on the other."""
     start, end = F.col(period[0]), F.col(period[1])
+    sides = {period_side: _period_cells(start, end, days), 1 - period_side: _point_cells(start, days)}
 
-    def cell(day: Column) -> Column:
-        return F.floor(F.unix_date(day) / days).cast("int")
+    def on_side(side: int, cells: Column) -> Column:
+        return F.transform(cells, lambda x: F.struct(F.lit(side).alias("side"), x["level"].alias("level"), x["cell"].alias("cell")))
 
-    low = cell(F.greatest(start, reach[0]))
-    high = cell(F.greatest(start, F.least(end, reach[1])))
+    cells = F.concat(*[on_side(side, c) for side, c in sides.items()])
     kept = df.filter(start.isNotNull() & end.isNotNull())
-    return kept.withColumn("__cell", F.explode(F.when(low <= high, F.sequence(low, high))))
+    return kept.withColumn("__cell", F.explode(cells))
 
 
 def overlap_join(
@@ -125,17 +151,16 @@ def overlap_join(
     right_period: tuple[str, str],
     how: str = "inner",
     grid_days: int | None = 366,
-    reach: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Join rows of equal key whose date periods overlap; touching ends do not.
 
-    Every row is placed in the grid cells where an overlap of it can begin, and
-    the join is on key and cell. A pair is produced in exactly one cell, the one
-    its common part starts in, so there are no duplicates, a hot key is spread
-    over its cells, and only rows of the same stretch of time are compared. Open
-    ends reach no further than the last start, which ``reach`` gives (see
-    :func:`start_range`; taken from both sides when absent). ``grid_days=None``
-    joins on the key alone, for keys known to have few periods.
+    The common part of two periods starts where one of them starts: either the
+    right one starts inside the left one, or the left one strictly inside the
+    right one. Periods are cut into cells of several levels (``_period_cells``),
+    a start lies in one cell of each level, and the join is on key, side, level
+    and cell. A pair thus arises exactly once, a hot key is spread over its cells,
+    and rows of different times are not compared. ``grid_days=None`` joins on the
+    key alone, for keys known to have few periods.
     """
     l_from, l_to = left_period
     r_from, r_to = right_period
@@ -146,11 +171,10 @@ def overlap_join(
     if grid_days is None:
         return left.join(other, same_key & overlap, how).drop(*sides.values())
 
-    reach = reach or start_range([(left, l_from), (right, r_from)])
     rows = left if how == "inner" else left.select(*keys, l_from, l_to).distinct()
-    rows = _grid(rows, left_period, reach, grid_days)
-    other = _grid(other, right_period, reach, grid_days).withColumnRenamed("__cell", "__rcell")
-    common = F.floor(F.unix_date(F.greatest(l_from, r_from)) / grid_days)
-    same_cell = (F.col("__cell") == F.col("__rcell")) & (F.col("__cell") == common)
+    rows = _grid(rows, left_period, grid_days, 0)
+    other = _grid(other, right_period, grid_days, 1).withColumnRenamed("__cell", "__rcell")
+    starts_later = F.when(F.col(r_from) >= F.col(l_from), 0).otherwise(1)
+    same_cell = (F.col("__cell") == F.col("__rcell")) & (F.col("__cell.side") == starts_later)
     matches = rows.join(other, same_key & same_cell & overlap).drop("__cell", "__rcell", *sides.values())
     return matches if how == "inner" else left.join(matches, [*keys, l_from, l_to], "left")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vaultframe.functions.dates import day_lit
 from vaultframe.operators import windows
-from vaultframe.operators.joins import overlap_join, start_range
+from vaultframe.operators.joins import overlap_join
 from vaultframe.operators.versions import first_per_key, first_rank
 
 
@@ -62,7 +62,6 @@ def time_slice(
     keys: list[str],
     attributes: list[tuple[DataFrame, tuple[str, str], str]],
     grid_days: int | None = 366,
-    reach: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Attach attributes to slices: each item is (frame, period columns, how).
 
@@ -70,11 +69,9 @@ def time_slice(
     joined on the slice, so the plan grows with the number of attributes and not
     with their combinations.
     """
-    if reach is None and grid_days is not None:
-        reach = start_range([(slices_df, "from_dt"), *[(frame, period[0]) for frame, period, _ in attributes]])
     out = slices_df
     for frame, period, how in attributes:
-        matches = overlap_join(slices_df, frame, keys, ("from_dt", "to_dt"), period, "inner", grid_days, reach)
+        matches = overlap_join(slices_df, frame, keys, ("from_dt", "to_dt"), period, "inner", grid_days)
         out = out.join(matches, [*keys, "from_dt", "to_dt"], how)
     return out
 

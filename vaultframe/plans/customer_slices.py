@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultframe.functions.columns import not_blank
 from vaultframe.functions.dates import as_of, floor_date, open_end, parse_day
-from vaultframe.operators.joins import overlap_join, resolve, start_range
+from vaultframe.operators.joins import overlap_join, resolve
 from vaultframe.operators.timeline import rank_slices, time_slice, timeline
 from vaultframe.operators.versions import (
     current_per_day,
@@ -92,6 +92,25 @@ def partner_addresses(addresses: DataFrame, run_dt: date | str, kind: str) -> Da
     )
 
 
+def phone_history(phones: DataFrame, run_dt: date | str) -> DataFrame:
+    """Every live phone of an address, valid from its extract day to the next one's; the last is open.
+
+    The second number is the one that follows in order of preference, deleted or not.
+    """
+    preference = Window.partitionBy("address_key").orderBy(*newest("flag_default", "cons_number", "seq"))
+    chain = Window.partitionBy("address_key").orderBy("extract_ts", "seq")
+    rows = as_of(phones, run_dt, "extract_ts").withColumn("tel_number2", F.lead("tel_number").over(preference))
+    day = F.col("extract_ts").cast("date")
+    return rows.filter(not_deleted()).select(
+        "address_key",
+        F.col("tel_number").alias("tel_number1"),
+        "tel_number2",
+        "cons_number",
+        day.alias("tel_from"),
+        F.coalesce(F.lead(day).over(chain), open_end()).alias("tel_to"),
+    )
+
+
 def address_phones(phones: DataFrame, run_dt: date | str) -> DataFrame:
     """Preferred and second phone of every address, valid from the day it was extracted."""
     order = newest("flag_default", "cons_number", "seq")
@@ -125,13 +144,18 @@ def customer_slices(
     address_kind: str = "XXDEFAULT",
     min_end: date | str | None = None,
     floor: date | str | None = None,
+    phone_rule: str = "history",
 ) -> DataFrame:
     """One row per site and slice, with the best-ranked customer data.
 
+    ``phone_rule``: "history" chains all live phones of an address; "first" keeps
+    the preferred one alone, open for ever.
+
     Boundaries are gathered attribute by attribute. Every attribute is matched
     against the slices alone; the dependent ones (address of the slice's partner,
     phone of that address) are then joined on the slice and the key they hang on.
     """
+    numbered = {"history": phone_history, "first": address_phones}[phone_rule]
     spine = stage(site_periods(ids, site_links, hub_site, run_dt), "spine")
     contracts = stage(service_contracts(services, spine, run_dt, service), "contracts")
     site_partner = site_partners(installs, accounts, partners, site_links, spine, run_dt)
@@ -139,7 +163,7 @@ def customer_slices(
     named = name.select("site_id", "partner_key").distinct()
     address = stage(named.join(partner_addresses(addresses, run_dt, address_kind), "partner_key"), "addresses")
     addressed = address.select("site_id", "partner_key", "address_key").distinct()
-    phone = stage(addressed.join(address_phones(phones, run_dt), "address_key"), "phones")
+    phone = stage(addressed.join(numbered(phones, run_dt), "address_key"), "phones")
 
     parts = [
         (spine, ["id_from", "id_to"]),
@@ -149,17 +173,16 @@ def customer_slices(
         (phone, ["tel_from", "tel_to"]),
     ]
     cuts = stage(timeline(parts, ["site_id"], min_end), "slices")
-    reach = start_range([(cuts, "from_dt"), *[(df, cols[0]) for df, cols in parts]])
     slice_key = ["site_id", "from_dt", "to_dt"]
 
     def attach(out: DataFrame, frame: DataFrame, period: tuple[str, str], depends_on: tuple[str, ...] = (), how: str = "left") -> DataFrame:
-        matches = overlap_join(cuts, frame, ["site_id"], ("from_dt", "to_dt"), period, "inner", reach=reach)
+        matches = overlap_join(cuts, frame, ["site_id"], ("from_dt", "to_dt"), period, "inner")
         return out.join(matches, [*slice_key, *depends_on], how)
 
     # The best row of a slice has the latest name and, under it, the latest
     # address. Picking each as soon as it is attached keeps combinations small.
     rows = time_slice(
-        cuts, ["site_id"], [(spine.select("site_id", "id_from", "id_to").distinct(), ("id_from", "id_to"), "inner")], reach=reach
+        cuts, ["site_id"], [(spine.select("site_id", "id_from", "id_to").distinct(), ("id_from", "id_to"), "inner")]
     ).select(*slice_key).distinct()
     rows = rank_slices(attach(rows, name, ("name_from", "name_to")), slice_key, newest("name_from"))
     rows = attach(rows, address, ("address_from", "address_to"), ("partner_key",))

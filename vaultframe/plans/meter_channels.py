@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vaultframe.functions.columns import code_in
 from vaultframe.functions.dates import closed_end
-from vaultframe.operators.joins import overlap_join, resolve, start_range
+from vaultframe.operators.joins import overlap_join, resolve
 from vaultframe.operators.timeline import dedup_slices, timeline
 from vaultframe.operators.versions import first_per_key, newest, oldest
 from vaultframe.plans.common import current
@@ -83,12 +83,11 @@ def meter_channels(
     parts = [(fit, ["fit_from", "fit_edge"]), (wire, ["wire_from", "wire_edge"]), (sfx, ["sfx_from", "sfx_edge"])]
     cuts = stage(timeline(parts, ["site_id"]), "slices")
 
-    reach = start_range([(cuts, "from_dt"), (fitted, "fit_from"), (wired, "wire_from"), (suffix, "sfx_from")])
     key = ["site_id", "from_dt", "to_dt"]
 
     def match(frame: DataFrame, name: str, columns: list[str]) -> DataFrame:
         period = (f"{name}_from", f"{name}_to")
-        rows = overlap_join(cuts, frame, ["site_id"], ("from_dt", "to_dt"), period, "inner", reach=reach)
+        rows = overlap_join(cuts, frame, ["site_id"], ("from_dt", "to_dt"), period, "inner")
         return rows.select(*key, *columns).distinct()
 
     real = way.filter(code_in("is_virtual", ["N"]))

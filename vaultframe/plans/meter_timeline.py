@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultframe.functions.columns import blank_to_null, not_blank
-from vaultframe.functions.dates import open_end, parse_day
+from vaultframe.functions.dates import as_of, open_end, parse_day
 from vaultframe.operators.joins import overlap_join, resolve
 from vaultframe.operators.timeline import array_timeline, leading_gap, span
-from vaultframe.operators.versions import eav_attribute, first_per_key, newest, oldest
+from vaultframe.operators.versions import eav_attribute, first_per_key, newest, not_deleted, oldest
 from vaultframe.plans.common import current
 from vaultframe.session import stage
 
@@ -60,9 +60,14 @@ def meter_timeline(
     kind: str = "Z",
     read_type: str = "READ_TYPE_CODE",
     install_type: str = "INSTALL_TYPE_CODE",
+    holding_versions: str = "all",
 ) -> DataFrame:
     """Site, meter, types and period: installed meters, the gap before the first
-    one, and the meters of the other class."""
+    one, and the meters of the other class.
+
+    ``holding_versions``: "all" lets every live version of a holding reach into its
+    span; "newest" only the newest of each link and start.
+    """
     start = ["date_from", "time_from"]
     external = current(ids, ["salnk_key", *start], run_dt, pre=not_blank("checksum"))
     external = external.select("salnk_key", F.col("date_from").alias("id_from"), F.col("date_to").alias("id_to"))
@@ -71,7 +76,11 @@ def meter_timeline(
     installed = current(installs, ["salnk_key", *start], run_dt).select("salnk_key").join(site_links, "salnk_key")
     installed = installed.select(F.col("key1").alias("install_key"), F.col("key2").alias("internal_key")).distinct()
     sites = external.join(installed, "internal_key")
-    held = current(holdings, ["link_key", "ab"], run_dt).select("link_key", "ab", "bis").join(equipment_links, "link_key")
+    live_holdings = {
+        "all": lambda: as_of(holdings, run_dt, "extract_ts").filter(not_deleted()),
+        "newest": lambda: current(holdings, ["link_key", "ab"], run_dt),
+    }[holding_versions]()
+    held = live_holdings.select("link_key", "ab", "bis").join(equipment_links, "link_key")
     held = held.select(F.col("site_key").alias("install_key"), F.col("equipment_key").alias("logical_key"), "ab", "bis")
     held = span(held, ["install_key", "logical_key"], "ab", "bis")
     placed = stage(sites.join(held, "install_key").select("site_id", "id_from", "id_to", "logical_key", "ab", "bis"), "placed")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,22 +44,41 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediates: ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder; a cluster
-    session without it is refused, because executors could not see the files.
+    A session without the setting gets a folder beside its warehouse, which the
+    executors share as well; no machine-local folder is ever used.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    shared = tempfile.mkdtemp(prefix="vaultframe-")
-    spark.conf.set("spark.checkpoint.dir", shared)
-    return shared
+    return shared.rstrip("/") if shared else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+
+
+RUN: list[str] = []
 
 
 def new_work_path(spark: SparkSession, label: str) -> str:
     """A path below the work folder that no earlier run has used."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    parent = f"{work_dir(spark)}/{RUN[-1]}" if RUN else work_dir(spark)
+    return f"{parent}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession, name: str | None = None) -> Iterator[str]:
+    """Intermediates written inside the ``with`` block share one folder, which is dropped at its end.
+
+    Results read from them must be written elsewhere before the block ends.
+    """
+    RUN.append(name or f"run-{uuid.uuid4().hex}")
+    folder = f"{work_dir(spark)}/{RUN[-1]}"
+    try:
+        yield folder
+    finally:
+        RUN.pop()
+        drop_folder(spark, folder)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder of intermediates on whatever file system holds it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -68,5 +88,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     behind it is cut, and a lost executor rereads files instead of recomputing.
     """
     path = new_work_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

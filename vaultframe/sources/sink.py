@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date
@@ -16,36 +17,66 @@ from vaultframe.sources.scan import file_manifest
 
 
 def write_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """Overwrite files at ``path`` and register a table on them."""
+    """Write a new version of a table into a folder of its own below ``path``, then point the table to it.
+
+    Until the new files are complete the table keeps its old ones, which are left
+    where they are: a failed job loses nothing.
+    """
     spark = df.sparkSession
-    df.write.format(fmt).mode("overwrite").save(path)
+    version = f"{path}/v-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(version)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source=fmt)
+    spark.catalog.createTable(name, path=version, source=fmt)
     return spark.table(name)
 
 
 def rebuild_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Replace an intermediate table by the frame's rows.
+    """Replace an intermediate table by the frame's rows, once these are all written.
 
     The frame must not read the table it replaces. Writing the stage cuts the
     lineage, and a lost executor reads the files again.
     """
+    if path:
+        return write_table(df, name, path)
     spark = df.sparkSession
+    coming = f"{name}__{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(coming)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = df.write.mode("overwrite").format("parquet")
-    (writer.option("path", path) if path else writer).saveAsTable(name)
+    spark.sql(f"ALTER TABLE {coming} RENAME TO {name}")
     return spark.table(name)
 
 
-def replace_run(df: DataFrame, path: str, run_col: str, run_dt: date | str) -> None:
+def _register_run(spark: SparkSession, table: str, run_col: str, day: date, folder: str) -> None:
+    spec = f"PARTITION ({run_col} = DATE '{day.isoformat()}')"
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+
+
+def replace_run(df: DataFrame, path: str, run_col: str, run_dt: date | str, table: str | None = None) -> None:
     """Replace one run's partition; the other runs are not touched.
 
     The partition folder itself is overwritten, so a run without rows leaves none
-    behind, which dynamic partition overwrite would not do.
+    behind, which dynamic partition overwrite would not do. A row of another run
+    fails the write: see :func:`write_runs` for frames of several runs. ``table``
+    is a catalog table on ``path`` that is to learn of the run.
     """
     day = as_date(run_dt)
-    rows = df.filter(F.col(run_col) == F.lit(day)) if run_col in df.columns else df
-    rows.drop(run_col).write.mode("overwrite").parquet(f"{path}/{run_col}={day.isoformat()}")
+    if run_col in df.columns:
+        own = F.col(run_col).eqNullSafe(F.lit(day))
+        df = df.filter(F.assert_true(own, F.concat(F.lit(f"row of another run than {day}: "), F.coalesce(F.col(run_col).cast("string"), F.lit("null")))).isNull())
+        df = df.drop(run_col)
+    folder = f"{path}/{run_col}={day.isoformat()}"
+    df.write.mode("overwrite").parquet(folder)
+    if table:
+        _register_run(df.sparkSession, table, run_col, day, folder)
+
+
+def write_runs(df: DataFrame, path: str, run_col: str, table: str | None = None) -> None:
+    """Replace every run that the frame has rows of, in one job; runs without rows in it stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run_col).parquet(path)
+    if table:
+        df.sparkSession.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        df.sparkSession.catalog.refreshTable(table)
 
 
 @dataclass(frozen=True)
@@ -103,6 +134,8 @@ def compact(spark: SparkSession, path: str, target: str, target_mb: int = 256, f
     The rows go to a new folder and the old one stays as it is, so readers are
     not disturbed and a failed run loses nothing.
     """
+    if path.rstrip("/") == target.rstrip("/"):
+        raise ValueError("compaction needs a folder of its own")
     parts = _file_count(spark, path, target_mb)
     spark.read.format(fmt).load(path).repartition(parts).write.format(fmt).mode("overwrite").save(target)
     return parts
@@ -114,11 +147,31 @@ def table_location(spark: SparkSession, name: str) -> str:
 
 
 def compact_tables(spark: SparkSession, names: Iterable[str], target_root: str, target_mb: int = 256) -> dict[str, int]:
-    """Compact unpartitioned catalog tables and point each one to its new folder."""
+    """Compact catalog tables into new folders of this call and point each one to its folder.
+
+    A partitioned table is compacted partition by partition. The old files stay.
+    """
     done = {}
     for name in names:
-        target = f"{target_root}/{name.replace('.', '/')}"
-        done[name] = compact(spark, table_location(spark, name), target, target_mb)
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
+        target = f"{target_root}/{name.replace('.', '/')}-{uuid.uuid4().hex}"
+        columns = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+        if columns:
+            done[name] = _compact_partitions(spark, name, target, target_mb)
+        else:
+            done[name] = compact(spark, table_location(spark, name), target, target_mb)
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
         spark.catalog.refreshTable(name)
     return done
+
+
+def _compact_partitions(spark: SparkSession, name: str, target: str, target_mb: int) -> int:
+    """Each partition is rewritten on its own and repointed when its new files are complete."""
+    files = 0
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        values = dict(part.split("=", 1) for part in row["partition"].split("/"))
+        spec = ", ".join(f"{c} = '{v}'" for c, v in values.items())
+        told = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({spec})").filter("col_name = 'Location'").first()["data_type"]
+        folder = f"{target}/{row['partition']}"
+        files += compact(spark, told, folder, target_mb)
+        spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{folder}'")
+    return files
