@@ -57,6 +57,37 @@ def n_dup_lines() -> Column:
     return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once a row, also where a filter is pushed below the column's definition
+    and the optimizer puts the whole expression in place of the name, inside loops too."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
+def _windows(w: Column) -> Column:
+    n = F.size(w)
+    hashes = F.transform(F.slice(w, F.lit(1), n - (WINDOW - 1)), lambda x, i: F.xxhash64(x, *[F.get(w, i + k) for k in range(1, WINDOW)]))
+    return F.when(n >= WINDOW, hashes)
+
+
+def _repeated_starts(windows: Column) -> Column:
+    """Starts of the windows found twice or more: equal neighbours among the sorted hashes."""
+    ordered = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+
+    def of(o: Column) -> Column:
+        def repeated(x: Column, k: Column) -> Column:
+            beside = [F.coalesce(F.get(o, k + step).getField("h") == x.getField("h"), F.lit(False)) for step in (-1, 1)]
+            return beside[0] | beside[1]
+
+        return F.array_sort(F.transform(F.filter(o, repeated), lambda x: x.getField("i")))
+
+    return F.when(F.size(windows) > F.size(F.array_distinct(windows)), bound(ordered, of))
+
+
+def _covered(starts: Column) -> Column:
+    reach = F.transform(starts, lambda x, k: F.when(k == 0, WINDOW).otherwise(F.least(F.lit(WINDOW), x - F.get(starts, k - 1))))
+    return F.aggregate(reach, F.lit(0), lambda a, x: a + x)
+
+
 def with_repeats(frame: DataFrame) -> DataFrame:
     """Adds ``n_repeat_words``: words inside a window of five words that the text holds at least twice.
 
@@ -64,23 +95,8 @@ def with_repeats(frame: DataFrame) -> DataFrame:
     sorted only where some are equal, equal neighbours give the repeated starts,
     and each start adds the words its window reaches beyond the one before.
     """
-    w, n = F.col("words"), F.size("words")
-    hashes = F.transform(F.slice(w, F.lit(1), n - (WINDOW - 1)), lambda x, i: F.xxhash64(x, *[F.get(w, i + k) for k in range(1, WINDOW)]))
-    frame = frame.withColumn("windows", F.when(n >= WINDOW, hashes))
-    windows = F.col("windows")
-    ordered = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    frame = frame.withColumn("ordered", F.when(F.size(windows) > F.size(F.array_distinct(windows)), ordered))
-    o = F.col("ordered")
-
-    def repeated(x: Column, k: Column) -> Column:
-        beside = [F.coalesce(F.get(o, k + step).getField("h") == x.getField("h"), F.lit(False)) for step in (-1, 1)]
-        return beside[0] | beside[1]
-
-    frame = frame.withColumn("starts", F.array_sort(F.transform(F.filter(o, repeated), lambda x: x.getField("i"))))
-    s = F.col("starts")
-    reach = F.transform(s, lambda x, k: F.when(k == 0, WINDOW).otherwise(F.least(F.lit(WINDOW), x - F.get(s, k - 1))))
-    total = F.aggregate(reach, F.lit(0), lambda a, x: a + x)
-    return frame.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("long")).drop("windows", "ordered", "starts")
+    total = bound(F.col("words"), lambda w: bound(_windows(w), lambda x: bound(_repeated_starts(x), _covered)))
+    return frame.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("long"))
 
 
 def few_words() -> Column:
