@@ -31,6 +31,7 @@ DIMENSIONS = 16
 SAMPLE_ROWS = 3000
 TRAIN_SUBWORDS = 600  # drawn from each training text
 EPOCHS = 6
+LEAST_STEPS = 400  # so that few labelled texts are gone over more often
 BATCH = 32
 RATE = 4.0
 TURNED_AWAY = 0.001
@@ -109,7 +110,7 @@ def train(rows: list[tuple[bytes, str]], seed: int = 5) -> Model | None:
         bags.append(draw.choice(codes, TRAIN_SUBWORDS, replace=False) if len(codes) > TRAIN_SUBWORDS else codes)
     embed = draw.uniform(-1, 1, (BUCKETS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     weights, bias = np.zeros((DIMENSIONS, len(langs)), np.float32), np.zeros(len(langs))
-    steps = EPOCHS * (len(bags) + BATCH - 1) // BATCH
+    steps = max(LEAST_STEPS, EPOCHS * (len(bags) + BATCH - 1) // BATCH)
     for step in range(steps):
         rate = RATE * (1 - step / steps)
         own = draw.integers(0, len(bags), BATCH)

@@ -89,7 +89,7 @@ def grow(sample: np.ndarray, trees: int = TREES, leaf: int = LEAF, seed: int = 1
             else:
                 (right if side else left)[parent] = node
     width = sample.shape[1] if sample.ndim == 2 else 0
-    return Forest(np.array(roots), np.array(normals).reshape(-1, width), np.array(left, int), np.array(right, int), leaves)
+    return Forest(np.array(roots), np.array(normals).reshape(len(normals), width), np.array(left, int), np.array(right, int), leaves)
 
 
 def leaves_of(forest: Forest, vectors: np.ndarray) -> np.ndarray:
