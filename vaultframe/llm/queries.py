@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultframe.llm import bpe, jaccard, language, licenses, lm, mixing, neighbours, quality, sharding, tokenfiles
+from vaultframe.llm import bpe, jaccard, language, lexical, licenses, lm, mixing, neighbours, quality, resampling, sharding, tokenfiles, topk
 from vaultframe.llm.common import remainder, table
 from vaultframe.session import new_work_path, tune
 
@@ -72,11 +72,30 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_query(documents(spark, sf_dir), mixing.Target(max_repeats=MIX_REPEATS))
 
 
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(tune(spark), sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_quality_rules, op2_bpe, op3_ann, op4_lm_scoring, op5_token_counts, op6_ngram_jaccard,
-        op7_sharding, op8_language_id, op9_license_scan, op10_mixing,
+        op7_sharding, op8_language_id, op9_license_scan, op10_mixing, op11_exact_topk, op12_lexical_search,
+        op13_importance_resampling,
     )
 }
-ORACLES: dict[str, str] = {"op1_quality_rules": quality.SQL, "op9_license_scan": licenses.SQL}
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": quality.SQL,
+    "op9_license_scan": licenses.SQL,
+    "op11_exact_topk": topk.SQL,
+    "op12_lexical_search": lexical.SQL,
+    "op13_importance_resampling": resampling.SQL,
+}
