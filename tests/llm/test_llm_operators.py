@@ -158,6 +158,53 @@ def test_lm_base_score_and_held_out_gain(docs, awkward, nothing):
     assert lm.score(nothing).count() == 0
 
 
+def brute_interpolation(rows):
+    """Deleted interpolation in plain Python: rows of id, words and remainder."""
+    texts = [(d, [*lower_words(t), None], f) for d, t, f in rows]
+    words, pairs, gone, gone_pairs = Counter(), Counter(), Counter(), Counter()
+    for _, ws, fold in texts:
+        if fold != 2:
+            words.update(ws), pairs.update(zip([None, *ws], ws, strict=False))
+        if fold == 3:
+            gone.update(ws), gone_pairs.update(zip([None, *ws], ws, strict=False))
+    n_words, distinct, flat = sum(words.values()), len(words), 1 / (len(words) + 1)
+    bucket = lambda n: min(math.frexp(n)[1], lm.BUCKETS - 1)
+    cells = Counter()
+    for _, ws, fold in texts:
+        for v, w in zip([None, *ws], ws, strict=False) if fold == 3 else ():
+            context = words[v] - gone[v]
+            ratios = ((pairs[v, w] - gone_pairs[v, w]) / max(context, 1) / flat, (words[w] - gone[w]) / max(n_words - sum(gone.values()), 1) / flat)
+            cells[bucket(context), *(2 ** (float(np.clip(np.round(2 * np.log2(r)), -20, 180)) / 2) if r > 0 else 0.0 for r in ratios)] += 1
+    weights = {b: [0.4, 0.4, 0.2] for b in range(lm.BUCKETS)}
+    for _ in range(lm.ROUNDS):
+        gained = {}
+        for (b, *ratios), n in cells.items():
+            parts = [w * r for w, r in zip(weights[b], [*ratios, 1.0], strict=True)]
+            for k in range(3):
+                gained.setdefault(b, [0, 0, 0])[k] += n * parts[k] / sum(parts)
+        weights |= {b: [x / sum(g) for x in g] for b, g in gained.items()}
+    weights[0] = [0, weights[0][0] + weights[0][1], weights[0][2]]
+    for b, w in weights.items():
+        w = [max(x, lm.LEAST) for x in w]
+        weights[b] = [x / sum(w) for x in w]
+    out = []
+    for d, ws, _ in texts:
+        total = 0.0
+        for v, w in zip([None, *ws], ws, strict=False):
+            a, u, z = weights[bucket(words[v])]
+            total += math.log10(a * pairs[v, w] / max(words[v], 1) + u * words[w] / max(n_words, 1) + z * flat)
+        out.append((d, total))
+    return sorted(out)
+
+
+def test_lm_score_equals_plain_interpolation(docs, awkward):
+    for frame in (docs, awkward):
+        want = brute_interpolation([(d, t, zlib.crc32(str(d).encode()) % 7) for d, t in pairs(frame)])
+        got = sorted((r["doc_id"], r["score"]) for r in lm.score(frame).collect())
+        assert [d for d, _ in got] == [d for d, _ in want]
+        assert all(math.isclose(a, b, rel_tol=1e-6) for (_, a), (_, b) in zip(got, want, strict=True))
+
+
 def test_token_files_give_every_document_back(spark, awkward):
     path = new_work_path(spark, "tokens")
     tokenfiles.write_token_files(awkward.repartition(3, "doc_id"), path, queries.tokenizer_file(), queries.END_OF_TEXT)
@@ -172,6 +219,28 @@ def test_token_files_give_every_document_back(spark, awkward):
         assert starts[0][0] == 0 and all(a + n + 1 == b for (a, n), (b, _) in zip(starts, starts[1:], strict=False))
 
 
+def test_token_files_are_bounded_and_read_in_ranges(spark, docs, monkeypatch):
+    monkeypatch.setattr(tokenfiles, "FILE_TOKENS", 5000)
+    path = new_work_path(spark, "tokens")
+    tokenfiles.write_token_files(docs.repartition(3, "doc_id"), path, queries.tokenizer_file(), queries.END_OF_TEXT)
+    files = tokenfiles.read_token_files(spark, path)
+    assert files.select("file").distinct().count() == files.count() > 20
+    want = sorted(r["n_tokens"] for r in bpe.encode_digests(docs, queries.tokenizer_file()).collect())
+    for range_bytes, block in ((1 << 20, 1 << 20), (64, 7), (4096, 100)):  # files of many ranges, ranges of many blocks
+        found = tokenfiles.documents_of(files, queries.END_OF_TEXT, block_tokens=block, range_bytes=range_bytes).collect()
+        assert sorted(r["n_tokens"] for r in found) == want and all(r["ended"] for r in found)
+        starts = sorted((r["start"], r["n_tokens"]) for r in found)
+        assert starts[0][0] == 0 and all(a + n + 1 == b for (a, n), (b, _) in zip(starts, starts[1:], strict=False))
+
+
+def test_token_scan_stitches_groups_of_files(spark, monkeypatch):
+    monkeypatch.setattr(tokenfiles, "GROUP_FILES", 2)
+    files = [[5, 5], [7], [0, 7, 7], [], [8], [8], [8, 0, 9]]
+    rows = [("a", k, np.array(ids, "<u2").tobytes()) for k, ids in enumerate(files)]
+    got = tokenfiles.documents_of(spark.createDataFrame(rows, "stream string, file long, content binary"), 0).select("start", "n_tokens", "ended").collect()
+    assert sorted(map(tuple, got)) == [(0, 3, True), (4, 5, True), (10, 1, False)]
+
+
 def test_token_scan_stitches_blocks_files_and_open_ends(spark):
     streams = {"a": [[5, 5, 0, 0, 7], [7, 7], [], [7, 0, 9]], "b": [[1, 2, 3]], "c": [[0]]}
     rows = [(s, k, np.array(ids, "<u2").tobytes()) for s, files in streams.items() for k, ids in enumerate(files)]
@@ -215,6 +284,39 @@ def test_jaccard_join_equals_brute_force(docs, awkward, nothing, like):
     assert jaccard.joined(nothing, like).count() == 0
 
 
+def test_jaccard_join_of_long_texts_with_one_passage(spark):
+    """Long unrelated texts share a rare passage: no links, and the join brings hardly a pair; a near copy of one is found."""
+    draw = np.random.default_rng(8)
+    passage = [f"p{k}" for k in range(60)]
+    texts = [[f"w{n}" for n in draw.integers(0, 60, 2400)] for _ in range(30)]
+    texts = [t[:900] + passage + t[900:] for t in texts]
+    near = [*texts[3][:-40], *texts[4][:40]]
+    rows = [(k, " ".join(t)) for k, t in enumerate([*texts, near])]
+    like = jaccard.Likeness(1, 80, 100)  # single words: all texts are alike
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["component_id"] for r in jaccard.joined(frame, like).collect()} == {0}
+    like = jaccard.Likeness(3, 80, 100)
+    got = jaccard.joined(frame, like).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == brute_components(rows, like)
+    assert [r["doc_id"] for r in got if r["doc_id"] != r["component_id"]] == [30]
+
+
+def test_signatures_tell_long_sets_apart():
+    draw = np.random.default_rng(4)
+    for size in (100, 1000, 9000):
+        a, b = (np.unique(draw.integers(0, 2**63, size).astype(np.uint64)) for _ in range(2))
+        near = np.union1d(a[: -size // 20], b[: size // 20])
+        differ = lambda x, y: sum(int(p ^ q).bit_count() for p, q in zip(*(jaccard.signature_of(z).view(np.uint64).tolist() for z in (x, y)), strict=True))
+        assert differ(a, near) <= len(np.setxor1d(a, near)) < 0.222 * size < differ(a, b)
+        wide, half = jaccard.signature_of(np.concatenate([a, b])), len(jaccard.signature_of(np.concatenate([a, b]))) // 2
+        assert len(jaccard.signature_of(a)) in (half, 2 * half)
+        if len(jaccard.signature_of(a)) == half:
+            bits = np.unpackbits(wide.view(np.uint8))
+            folded = np.packbits(bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]).view(np.int64)
+            x = jaccard.B.mixed(np.concatenate([a, b])) & np.uint64(64 * half - 1)
+            assert (np.unpackbits(folded.view(np.uint8)) == np.bincount(x.astype(np.int64), minlength=64 * half) % 2).all()
+
+
 def test_one_document_of_each_group_stays(awkward, nothing):
     like = jaccard.Likeness(5, 80, 100)
     kept = jaccard.keep_one(awkward, like)
@@ -258,6 +360,14 @@ def test_language_held_out_accuracy(spark, docs):
     assert all(0 <= r["score"] <= 1 for r in held)
 
 
+def test_language_sample_is_that_of_the_whole_order(spark, docs):
+    rows = [(k, "x", "en" if k % 3 else "fr") for k in range(5000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = [tuple(r) for r in frame.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(40).collect()]
+    assert [tuple(r) for r in language.sample_ids(frame, 40).collect()] == want
+    assert language.sample_ids(frame, 9000).count() == 5000
+
+
 def test_language_of_awkward_rows(awkward, nothing):
     model = language.learn(awkward)
     got = {r["doc_id"]: r for r in language.predicted(awkward, model, doc_id=F.col("doc_id")).collect()}
@@ -326,6 +436,6 @@ def test_pipeline_equals_its_stages_by_hand(spark, docs):
 
 
 def test_every_operator_is_registered():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(key.startswith(f"op{n}_") for key in entry.queries()) == 1
     assert "pipeline" in entry.queries()

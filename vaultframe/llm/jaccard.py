@@ -15,10 +15,12 @@ Steps, all exact but the first choice of links in 4:
 4. Hubs: of the representatives that share a posted shingle with it, each is compared
    with that of fewest unique shingles (the middle of a group of near copies) among
    those it shares most with. The links found give first groups.
-5. Every pair of different groups that shares enough is filtered by size and by a
-   256-bit parity signature (sets differ at least in as many shingles as
-   signatures in bits) and compared in full. Pairs inside one group need no
-   comparison: they add nothing to the components.
+5. Pairs of different groups meet in the join on posted shingles, where shingles with the
+   same holders (those of one shared passage) are one entry. In the join's condition a pair is dropped by size,
+   by the shingles that no other document has, or by parity signatures that grow with the sets
+   (sets differ in at least as many shingles as signatures in bits). What is left and shares
+   enough is compared in full. Pairs inside one group need no comparison: they add nothing to
+   the components.
 
 Links are whole sets compared; classes, links and labels never leave Spark.
 
@@ -44,7 +46,7 @@ from vaultframe.llm.components import components
 from vaultframe.session import stage
 
 MOST_MATCHES = 6
-SIGNATURE_WORDS = 4
+LEAST_SIGNATURE = 4  # in words of 64 bits
 SETS = (
     "doc_id {kind}, digest string, n_shingles long, uniques int, matches int, prefix array<long>, "
     "signature array<long>, shingles array<long>"
@@ -76,8 +78,15 @@ def digest_of(shingles: np.ndarray) -> str:
 
 
 def signature_of(shingles: np.ndarray) -> np.ndarray:
-    bits = np.bincount((B.mixed(shingles) & np.uint64(64 * SIGNATURE_WORDS - 1)).astype(int), minlength=64 * SIGNATURE_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+    """Parities of the numbers of shingles in hash buckets, two to four buckets a shingle.
+
+    The number of buckets is a power of two, so that xor of its halves is the signature of half the width.
+    """
+    bits = 64 * LEAST_SIGNATURE
+    while bits < 2 * len(shingles):
+        bits *= 2
+    odd = np.bincount((B.mixed(shingles) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def chosen_prefix(shingles: np.ndarray, counts: np.ndarray, like: Likeness) -> tuple[int, np.ndarray]:
@@ -141,18 +150,31 @@ def linked(pairs: DataFrame, posted: DataFrame, like: Likeness) -> DataFrame:
     return both.where(like.per * shared >= like.of * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
 
+def _halved(signature: Column) -> Column:
+    half = F.shiftright(F.size(signature), 1)
+    return F.zip_with(F.slice(signature, F.lit(1), half), F.slice(signature, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+
+
 def _far_apart(like: Likeness) -> Column:
-    """True where signatures or sizes alone rule a pair out. With union = (size + size + difference) / 2, a
-    linking pair has difference <= (per - of) / (per + of) * (size + size)."""
-    differing = sum(F.bit_count(F.get("xs", F.lit(k)).bitwiseXOR(F.get("ys", F.lit(k)))) for k in range(SIGNATURE_WORDS))
+    """True where sizes, shingles that nobody shares, or signatures alone rule a pair out. With union =
+    (size + size + difference) / 2, a linking pair has difference <= (per - of) / (per + of) * (size + size);
+    signatures differ in no more places than sets in shingles."""
     sizes = F.col("xn") + F.col("yn")
-    too_different = (like.per + like.of) * differing > (like.per - like.of) * sizes
-    return too_different | (like.per * F.least("xn", "yn") < like.of * F.greatest("xn", "yn"))
+    too_uneven = like.per * F.least("xn", "yn") < like.of * F.greatest("xn", "yn")
+    shareable = F.least(F.col("xn") - F.col("xu"), F.col("yn") - F.col("yu"))
+    too_lonely = (like.per + like.of) * shareable < like.of * sizes
+    a, b = F.size("xs"), F.size("ys")
+    xs = F.when(a == 2 * b, _halved(F.col("xs"))).otherwise(F.col("xs"))
+    ys = F.when(b == 2 * a, _halved(F.col("ys"))).otherwise(F.col("ys"))
+    differing = F.aggregate(F.zip_with(xs, ys, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    comparable = (a == b) | (a == 2 * b) | (b == 2 * a)
+    too_different = comparable & ((like.per + like.of) * differing > (like.per - like.of) * sizes)
+    return too_uneven | too_lonely | too_different
 
 
 def links(posted: DataFrame, like: Likeness) -> DataFrame:
     """Links ``u``, ``v`` of representatives that give the components of all links."""
-    post = posted.select("digest", "uniques", "n_shingles", "matches", "signature", F.explode("prefix").alias("shingle"))
+    post = posted.select("digest", "uniques", F.explode("prefix").alias("shingle"))
     post = post.withColumn("key", F.xxhash64("digest"))  # orders representatives with equal uniques at random
     hub = post.groupBy("shingle").agg(F.min(F.struct("uniques", "key", "digest")).alias("hub"), F.count("*").alias("n")).where("n > 1")
     to_hub = post.select("digest", "shingle").join(hub, "shingle").where("digest <> hub.digest")
@@ -161,12 +183,17 @@ def links(posted: DataFrame, like: Likeness) -> DataFrame:
     first = stage(linked(best.select(F.col("digest").alias("a"), F.col("hub.digest").alias("b")), posted, like).select(F.col("a").alias("u"), F.col("b").alias("v")), "first")
     groups = components(first)
     post = post.join(groups, post.digest == groups.node, "left").withColumn("root", F.coalesce("root", "digest"))
-    mixed = post.groupBy("shingle").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("shingle")
-    post = stage(post.join(mixed, "shingle").select("shingle", "digest", "root", "n_shingles", "matches", "signature"), "post")
-    x = post.select("shingle", *[F.col(c).alias(a) for c, a in (("digest", "a"), ("root", "xr"), ("n_shingles", "xn"), ("matches", "xm"), ("signature", "xs"))])
-    y = post.select("shingle", *[F.col(c).alias(a) for c, a in (("digest", "b"), ("root", "yr"), ("n_shingles", "yn"), ("matches", "ym"), ("signature", "ys"))])
-    near = x.join(y, (x.shingle == y.shingle) & (F.col("a") < F.col("b")) & (F.col("xr") != F.col("yr")) & ~_far_apart(like))
-    pairs = near.groupBy("a", "b").agg(F.count("*").alias("n"), F.first(F.least("xm", "ym")).alias("least")).where("n >= least").select("a", "b")
+    # shingles with the same holders, such as those of one shared passage, are one list
+    holders = F.struct(F.bit_xor("key"), F.sum(F.shiftright("key", 20)), F.count("*"))
+    lists = post.groupBy("shingle").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), holders.alias("list")).where("r0 <> r1")
+    post = post.join(lists.select("shingle", "list"), "shingle").groupBy("digest", "root", "list").agg(F.count("*").alias("n"))
+    post = post.join(posted.select("digest", "n_shingles", "uniques", "matches", "signature"), "digest")
+    post = stage(post.select("digest", "root", "list", "n", "n_shingles", "uniques", "matches", "signature"), "post")
+    named = (("digest", "{}"), ("root", "{}r"), ("n_shingles", "{}n"), ("uniques", "{}u"), ("matches", "{}m"), ("signature", "{}s"))
+    x = post.select("list", F.col("n").alias("n"), *[F.col(c).alias(a.format("x")) for c, a in named])
+    y = post.select(F.col("list").alias("ylist"), *[F.col(c).alias(a.format("y")) for c, a in named])
+    near = x.join(y, (F.col("list") == F.col("ylist")) & (F.col("x") < F.col("y")) & (F.col("xr") != F.col("yr")) & ~_far_apart(like))
+    pairs = near.groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.sum("n").alias("n"), F.first(F.least("xm", "ym")).alias("least")).where("n >= least").select("a", "b")
     second = linked(pairs, posted, like).select(F.col("a").alias("u"), F.col("b").alias("v"))
     return first.union(second)
 
