@@ -71,21 +71,22 @@ def short_key(hashes: np.ndarray) -> np.ndarray:
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
-    """Ascending keys as differences, each in as few bytes as the largest one needs."""
+    """Ascending keys: the first whole, then differences, each in as few bytes as the largest one needs."""
     if not len(keys):
         return b""
-    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
-    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
-    return bytes([width]) + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    steps = np.diff(keys).astype("<u8")
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
+    return bytes([width]) + keys[:1].astype("<u8").tobytes() + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def unpack_sorted(blob: bytes) -> np.ndarray:
     if not blob:
         return _EMPTY
     width = blob[0]
-    raw = np.frombuffer(blob, np.uint8, offset=1).reshape(-1, width)
-    full = np.zeros((len(raw), 8), np.uint8)
-    full[:, :width] = raw
+    raw = np.frombuffer(blob, np.uint8, offset=9).reshape(-1, width)
+    full = np.zeros((len(raw) + 1, 8), np.uint8)
+    full[0] = np.frombuffer(blob, np.uint8, 8, offset=1)
+    full[1:, :width] = raw
     return np.cumsum(full.view("<u8").ravel(), dtype=np.uint64)
 
 
