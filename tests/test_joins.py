@@ -27,14 +27,14 @@ def periods(rng: random.Random, n: int, keys: int) -> list[tuple]:
     return out
 
 
-@pytest.mark.parametrize("grid", [31, 366, None])
+@pytest.mark.parametrize("few", [0, 200, 4096, None])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_overlap_join_equals_all_pairs(spark, rows, grid, how):
+def test_overlap_join_equals_all_pairs(spark, rows, few, how):
     rng = random.Random(11)
     left, right = periods(rng, 240, 12), periods(rng, 200, 12)
     a = spark.createDataFrame(left, "k INT, a_from DATE, a_to DATE, a INT")
     b = spark.createDataFrame(right, "k INT, b_from DATE, b_to DATE, b INT")
-    got = joins.overlap_join(a, b, ["k"], ("a_from", "a_to"), ("b_from", "b_to"), how, grid)
+    got = joins.overlap_join(a, b, ["k"], ("a_from", "a_to"), ("b_from", "b_to"), how, few)
     want = []
     for k, f, t, i in left:
         hits = [
@@ -75,17 +75,30 @@ def test_tree_keeps_nodes_without_clone_or_parent(spark, rows):
     assert set(rows(out, "id", "clone_name", "parent_name")) == {(1, None, None), (2, "root", "root"), (3, None, None)}
 
 
-def test_a_misread_date_costs_only_its_own_row(spark):
-    """Open ends and far dates take a bounded number of cells, and none of another key's."""
-    open_rows = spark.range(200).selectExpr("id AS k", "DATE '2001-02-03' AS f", "DATE '9999-12-31' AS t")
-    bad = spark.sql("SELECT 1000L AS k, DATE '9999-12-30' AS f, DATE '9999-12-31' AS t UNION ALL SELECT 1001L, DATE '0001-01-01', DATE '9999-12-31'")
-
-    def grid_rows(df):
-        return joins._grid(df, ("f", "t"), 366, 0).count()
-
-    before = grid_rows(open_rows)
-    assert before <= 200 * 80
-    assert grid_rows(open_rows.union(bad)) - before <= 2 * 80
-    both = open_rows.union(bad)
-    other = both.selectExpr("k", "f AS g", "t AS u")
-    assert joins.overlap_join(both, other, ["k"], ("f", "t"), ("g", "u")).count() == 202
+def celled(df, keys=("k",)):
+    return joins._celled(df, [*keys], ("f", "t"), joins.cell_shapes(joins._spans(df, [*keys], ("f", "t")), [*keys]))
+
+
+def test_a_misread_date_costs_only_its_own_row(spark, rows):
+    """Open ends and far dates take a handful of cells, and none of another key's."""
+    open_rows = spark.range(4000).selectExpr("id % 2 AS k", "date_add(DATE '2001-02-03', cast(id AS int)) AS f", "DATE '9999-12-31' AS t")
+    bad = spark.sql("SELECT 1L AS k, DATE '9999-12-30' AS f, DATE '9999-12-31' AS t UNION ALL SELECT 1L, DATE '0001-01-01', DATE '9999-12-31'")
+    for df, most in ((open_rows, 8), (open_rows.union(bad), 12)):
+        fans = celled(df).groupBy("k", "f", "t").count()
+        assert fans.agg(F.max("count")).first()[0] <= most
+        assert fans.filter("k = 0").agg(F.sum("count")).first()[0] <= 2000 * 8
+    few = open_rows.union(bad).filter("k = 1 AND (f > DATE '2011-12-01' OR f < DATE '2001-03-20')")
+    other = few.selectExpr("k", "f AS g", "t AS u")
+    want = few.join(other, "k").filter("u > f AND g < t").count()
+    assert joins.overlap_join(few, other, ["k"], ("f", "t"), ("g", "u"), few_pairs=0).count() == want
+
+
+def test_a_crowded_key_compares_neighbours_only(spark):
+    """One key with all rows: cells keep compared pairs near the matching ones, whatever the density."""
+    for step, length in ((1, 3), (40, 3), (1, 700)):
+        df = spark.range(6000).selectExpr("0 AS k", f"date_add(DATE '1950-01-01', cast(id * {step} AS int)) AS f", f"date_add(DATE '1950-01-01', cast(id * {step} + {length} AS int)) AS t")
+        cells = celled(df).groupBy("__cell").count()
+        compared = cells.agg(F.sum(F.col("count") * F.col("count"))).first()[0]
+        matching = 6000 * (2 * length // step + 1)
+        assert compared <= 40 * matching + 6000 * 300
+        assert celled(df).count() <= 6000 * 6

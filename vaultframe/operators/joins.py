@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vaultframe.session import stage
+
 
 def resolve(df: DataFrame, hub: DataFrame, on: str, hub_key: str, columns: Mapping[str, str], how: str = "inner") -> DataFrame:
     """Bring hub columns to a key column: ``columns`` maps hub column to output name."""
@@ -88,59 +90,84 @@ def tree_parent_clone(df: DataFrame, node: str, parent: str, clone: str, carry:
     return out.drop("__clone", "__parent")
 
 
-#: Each level's cells hold this many of the level below; the top level reaches past the year 9999.
-FANOUT = 8
-LEVELS = 5
+#: A key whose sides make no more pairs than this is joined on the key alone.
+FEW_PAIRS = 4096
+#: Aimed-at rows of a crowded key in one of its smallest cells.
+ROWS_PER_CELL = 64
+#: A cell is as wide as this many of the level below; seven levels of days reach past the year 9999.
+FANOUT = 16
+LEVELS = 7
+#: Crowded keys up to this number are kept in the plan, more are written to the work folder.
+HELD_KEYS = 20_000
 
 
-def _cell(day: Column, days: int) -> Column:
-    return F.floor(F.unix_date(day) / days).cast("int")
+def crowded_keys(left: DataFrame, right: DataFrame, keys: list[str], few_pairs: int = FEW_PAIRS) -> DataFrame | None:
+    """Keys whose rows on both sides make more than ``few_pairs`` pairs; ``None`` if there are none.
 
+    One aggregate over both sides, which folds a key to one row a task before its shuffle.
+    """
+    sides = left.select(*keys, F.lit(1).alias("__l"), F.lit(0).alias("__r")).unionAll(
+        right.select(*keys, F.lit(0).alias("__l"), F.lit(1).alias("__r"))
+    )
+    many = sides.na.drop(subset=keys).groupBy(*keys).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
+    many = many.filter(F.col("__l") * F.col("__r") > few_pairs).select(*keys)
+    held = many.limit(HELD_KEYS + 1).collect()
+    if not held:
+        return None
+    if len(held) > HELD_KEYS:
+        return stage(many, "crowded")
+    return left.sparkSession.createDataFrame(held, many.schema)
+
+
+def _spans(df: DataFrame, keys: list[str], period: tuple[str, str]) -> DataFrame:
+    """Keys with ``__lo`` and ``__hi``, the days a period reaches over, turned round where it ends before it starts."""
+    days = [F.unix_date(c) for c in period]
+    return df.select(*keys, F.least(*days).alias("__lo"), F.greatest(*days).alias("__hi")).filter(
+        days[0].isNotNull() & days[1].isNotNull()
+    )
+
+
+def _level(lo: Column, hi: Column, width: Column) -> Column:
+    """The lowest level whose cells are at least as wide as the span."""
+    wider = [(hi - lo + 1 > width * FANOUT**k).cast("int") for k in range(LEVELS - 1)]
+    return reduce(lambda x, y: x + y, wider)
+
+
+def cell_shapes(spans: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells of every crowded key, from its own periods: ``__width`` in days, ``__horizon``, ``__levels``.
+
+    The width puts some ``ROWS_PER_CELL`` rows into a smallest cell where most periods begin. No common
+    part of two periods begins after the last period does, the horizon: there open ends and misread dates
+    are cut off. Levels are those that some period of the key has.
+    """
+    begin = spans.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.max("__lo").alias("__horizon"),
+        F.percentile_approx("__lo", F.array(F.lit(0.05), F.lit(0.95)), 200).alias("__q"),
+    )
+    dense = F.ceil((F.col("__q")[1] - F.col("__q")[0]) * F.lit(float(ROWS_PER_CELL)) / F.col("__n")).cast("long")
+    begin = begin.select(*keys, F.greatest(F.lit(1).cast("long"), dense).alias("__width"), "__horizon")
+    level = _level(F.col("__lo"), F.least("__hi", "__horizon"), F.col("__width"))
+    levels = spans.join(begin, keys).groupBy(*keys, "__width", "__horizon")
+    return levels.agg(F.array_sort(F.collect_set(level)).alias("__levels"))
 
-def _point_cells(day: Column, days: int) -> Column:
-    """The cell a day is in, on every level."""
-    cell = _cell(day, days)
-    levels = [F.struct(F.lit(k).alias("level"), F.floor(cell / FANOUT**k).cast("int").alias("cell")) for k in range(LEVELS)]
-    return F.array(*levels)
 
+def _celled(df: DataFrame, keys: list[str], period: tuple[str, str], shapes: DataFrame) -> DataFrame:
+    """A row for each cell a period touches: one or two on its own level and on each coarser one that occurs."""
+    days = [F.unix_date(c) for c in period]
+    rows = df.filter(days[0].isNotNull() & days[1].isNotNull()).join(shapes, keys)
+    rows = rows.withColumns({"__lo": F.least(*days), "__hi": F.least(F.greatest(*days), F.greatest(F.least(*days), "__horizon"))})
+    rows = rows.withColumn("__level", _level(F.col("__lo"), F.col("__hi"), F.col("__width")))
 
-def _period_cells(start: Column, end: Column, days: int) -> Column:
-    """The fewest cells that cover a period: on each level those inside it whose parent is not.
+    def size(k: Column) -> Column:
+        return F.col("__width") * F.pow(F.lit(FANOUT), k)
 
-    Some dozen cells at most a level whatever the length, so an open end or a
-    misread date costs its own row that many cells and no other row any.
-    """
-    low, high = _cell(start, days), _cell(F.greatest(start, end), days)
-    inside = [
-        (F.ceil(low / FANOUT**k).cast("int"), (F.floor((high + 1) / FANOUT**k) - 1).cast("int")) for k in range(LEVELS)
-    ]
-    parts = []
-    for k, (first, last) in enumerate(inside):
-        def run(a: Column, z: Column, k: int = k) -> Column:
-            cells = F.when(a <= z, F.sequence(a, z)).otherwise(F.array().cast("array<int>"))
-            return F.transform(cells, lambda c: F.struct(F.lit(k).alias("level"), c.alias("cell")))
-
-        if k + 1 == LEVELS:
-            parts.append(run(first, last))
-            continue
-        up_first, up_last = inside[k + 1]
-        none_above = up_first > up_last
-        parts.append(run(first, F.when(none_above, last).otherwise(F.least(last, FANOUT * up_first - 1))))
-        parts.append(run(F.when(none_above, last + 1).otherwise(F.greatest(first, FANOUT * up_last + FANOUT)), last))
-    return F.concat(*parts)
-
-
-def _grid(df: DataFrame, period: tuple[str, str], days: int, period_side: int) -> DataFrame:
-    """One row per cell: the period's cells on one side, those of its start on the other."""
-    start, end = F.col(period[0]), F.col(period[1])
-    sides = {period_side: _period_cells(start, end, days), 1 - period_side: _point_cells(start, days)}
-
-    def on_side(side: int, cells: Column) -> Column:
-        return F.transform(cells, lambda x: F.struct(F.lit(side).alias("side"), x["level"].alias("level"), x["cell"].alias("cell")))
-
-    cells = F.concat(*[on_side(side, c) for side, c in sides.items()])
-    kept = df.filter(start.isNotNull() & end.isNotNull())
-    return kept.withColumn("__cell", F.explode(cells))
+    def touched(k: Column) -> Column:
+        cells = F.sequence(F.floor(F.col("__lo") / size(k)).cast("int"), F.floor(F.col("__hi") / size(k)).cast("int"))
+        return F.transform(cells, lambda c: F.struct(k.cast("int").alias("level"), c.alias("cell")))
+
+    levels = F.filter("__levels", lambda k: k >= F.col("__level"))
+    return rows.withColumn("__cell", F.explode(F.flatten(F.transform(levels, touched)))).drop("__levels", "__hi", "__horizon")
 
 
 def overlap_join(
@@ -150,31 +177,43 @@ def overlap_join(
     left_period: tuple[str, str],
     right_period: tuple[str, str],
     how: str = "inner",
-    grid_days: int | None = 366,
+    few_pairs: int | None = FEW_PAIRS,
 ) -> DataFrame:
     """Join rows of equal key whose date periods overlap; touching ends do not.
 
-    The common part of two periods starts where one of them starts: either the
-    right one starts inside the left one, or the left one strictly inside the
-    right one. Periods are cut into cells of several levels (``_period_cells``),
-    a start lies in one cell of each level, and the join is on key, side, level
-    and cell. A pair thus arises exactly once, a hot key is spread over its cells,
-    and rows of different times are not compared. ``grid_days=None`` joins on the
-    key alone, for keys known to have few periods.
+    Keys with few periods are joined on the key alone. The keys are counted first, so both
+    sides should be stored or staged. The periods of a crowded key are cut into cells whose
+    width and levels come from these periods (``cell_shapes``). Two periods meet on the level of the longer
+    one, in the cell that holds the later of their beginnings: that cell both touch, so a pair
+    arises exactly once, a hot key is spread over its cells, and rows of different
+    times are not compared. ``few_pairs=None`` joins on the key without counting, for keys known to have few periods.
     """
     l_from, l_to = left_period
     r_from, r_to = right_period
     overlap = (F.col(r_to) > F.col(l_from)) & (F.col(r_from) < F.col(l_to))
     sides = {c: f"__k_{c}" for c in keys}
     same_key = reduce(lambda a, b: a & b, [F.col(c) == F.col(k) for c, k in sides.items()])
-    other = right.withColumnsRenamed(sides)
-    if grid_days is None:
-        return left.join(other, same_key & overlap, how).drop(*sides.values())
 
+    def on_key(some: DataFrame, other: DataFrame) -> DataFrame:
+        return some.join(other.withColumnsRenamed(sides), same_key & overlap, how).drop(*sides.values())
+
+    crowded = None if few_pairs is None else crowded_keys(left, right, keys, few_pairs)
+    if crowded is None:
+        return on_key(left, right)
+    plain = on_key(left.join(crowded, keys, "left_anti"), right.join(crowded, keys, "left_anti"))
+
+    left, right = (df.join(crowded, keys, "left_semi") for df in (left, right))
+    spans = _spans(left, keys, left_period).unionAll(_spans(right, keys, right_period))
+    shapes = stage(cell_shapes(spans, keys), "cells")
     rows = left if how == "inner" else left.select(*keys, l_from, l_to).distinct()
-    rows = _grid(rows, left_period, grid_days, 0)
-    other = _grid(other, right_period, grid_days, 1).withColumnRenamed("__cell", "__rcell")
-    starts_later = F.when(F.col(r_from) >= F.col(l_from), 0).otherwise(1)
-    same_cell = (F.col("__cell") == F.col("__rcell")) & (F.col("__cell.side") == starts_later)
-    matches = rows.join(other, same_key & same_cell & overlap).drop("__cell", "__rcell", *sides.values())
-    return matches if how == "inner" else left.join(matches, [*keys, l_from, l_to], "left")
+    rows = _celled(rows, keys, left_period, shapes)
+    other = _celled(right, keys, right_period, shapes).drop("__width")
+    other = other.withColumnsRenamed({**sides, "__cell": "__rcell", "__lo": "__rlo", "__level": "__rlevel"})
+    wider = F.greatest("__level", "__rlevel")
+    begins = F.floor(F.greatest("__lo", "__rlo") / (F.col("__width") * F.pow(F.lit(FANOUT), wider)))
+    same_cell = (F.col("__cell") == F.col("__rcell")) & (F.col("__cell.level") == wider) & (F.col("__cell.cell") == begins)
+    extra = ["__cell", "__rcell", "__lo", "__rlo", "__level", "__rlevel", "__width"]
+    matches = rows.join(other, same_key & same_cell & overlap).drop(*extra, *sides.values())
+    if how != "inner":
+        matches = left.join(matches, [*keys, l_from, l_to], "left")
+    return plain.unionByName(matches)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vaultframe.functions.dates import day_lit
 from vaultframe.operators import windows
-from vaultframe.operators.joins import overlap_join
+from vaultframe.operators.joins import FEW_PAIRS, overlap_join
 from vaultframe.operators.versions import first_per_key, first_rank
 
 
@@ -61,7 +61,7 @@ def time_slice(
     slices_df: DataFrame,
     keys: list[str],
     attributes: list[tuple[DataFrame, tuple[str, str], str]],
-    grid_days: int | None = 366,
+    few_pairs: int | None = FEW_PAIRS,
 ) -> DataFrame:
     """Attach attributes to slices: each item is (frame, period columns, how).
 
@@ -71,7 +71,7 @@ def time_slice(
     """
     out = slices_df
     for frame, period, how in attributes:
-        matches = overlap_join(slices_df, frame, keys, ("from_dt", "to_dt"), period, "inner", grid_days)
+        matches = overlap_join(slices_df, frame, keys, ("from_dt", "to_dt"), period, "inner", few_pairs)
         out = out.join(matches, [*keys, "from_dt", "to_dt"], how)
     return out
 
