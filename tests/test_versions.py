@@ -96,8 +96,12 @@ def events(spark):
     return spark.createDataFrame(data, "k INT, ts TIMESTAMP_NTZ, id INT, v INT")
 
 
-def test_sliced_windows_equal_plain_windows(events, rows):
-    cut, order = windows.by_month("ts"), ["ts", "id"]
+@pytest.mark.parametrize("rule", ["month", "data", "plain"])
+def test_sliced_windows_equal_plain_windows(events, rows, rule, monkeypatch):
+    cut, order = windows.by_month("ts") if rule == "month" else None, ["ts", "id"]
+    if rule == "data":
+        monkeypatch.setattr(windows, "SLICE_ROWS", 60)
+        assert windows.hot_keys(events, ["k"]) is not None
     plain = Window.partitionBy("k").orderBy("ts", "id")
     down = Window.partitionBy("k").orderBy(F.col("ts").desc(), F.col("id").desc())
     peers = Window.partitionBy("k").orderBy("ts")
@@ -113,6 +117,34 @@ def test_sliced_windows_equal_plain_windows(events, rows):
     assert rows(got, "id", "lo", "hi") == rows(events.select("id", F.min("v").over(peers), F.max("v").over(peers)))
 
 
+def crowded_day(spark):
+    """One key has all but a few rows, nine tenths of them on one day and at one sentinel."""
+    return spark.range(20_000).selectExpr(
+        "0 AS k",
+        "CASE WHEN id % 10 = 0 THEN date_add(DATE '2020-01-01', cast(id % 700 AS int)) WHEN id % 10 < 5 THEN DATE '2021-06-01' ELSE DATE '9999-12-31' END AS day",
+        "id * 7919 % 20011 AS id",
+    ).unionByName(spark.sql("SELECT 1 AS k, DATE '2021-06-01' AS day, 5L AS id"))
+
+
+def test_a_key_with_its_rows_on_one_day_is_spread(spark, rows, monkeypatch):
+    monkeypatch.setattr(windows, "SLICE_ROWS", 1000)
+    df, order = crowded_day(spark), ["day", "id"]
+    plain, sliced = windows._split(df, ["k"], order, None)
+    assert rows(plain, "k") == [(1,)]
+    sizes = [r["count"] for r in sliced.groupBy("__slice").count().collect()]
+    assert sum(sizes) == 20_000 and len(sizes) >= 10 and max(sizes) <= 4000
+    whole = Window.partitionBy("k").orderBy(*order)
+    assert rows(windows.next_value(df, ["k"], order, {"n": "id"}), "id", "n") == rows(df.select("id", F.lead("id").over(whole)))
+    assert rows(windows.row_numbers(df, ["k"], order, "n"), "id", "n") == rows(df.select("id", F.row_number().over(whole).cast("long")))
+    days = Window.partitionBy("k").orderBy("day")  # peers stay together, however many
+    assert rows(windows.ranks(df, ["k"], ["day"], "n"), "id", "n") == rows(df.select("id", F.rank().over(days).cast("long")))
+
+
+def test_few_rows_a_key_take_a_plain_window(events):
+    plan = windows.next_value(events, ["k"], ["ts", "id"], {"n": "v"})._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Window") == 1
+
+
 def test_a_hot_key_is_spread_over_tasks(spark, events):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:

@@ -106,7 +106,7 @@ class Tables:
             F.col("ts").alias("extract_ts"),
         )
         chained = windows.next_value(
-            rows, ["user_id", "fname"], ["extract_ts"], {"bis": "ab"}, windows.by_hour("extract_ts")
+            rows, ["user_id", "fname"], ["extract_ts"], {"bis": "ab"}
         )
         return chained.withColumn("bis", F.coalesce("bis", F.lit(OPEN_END_TEXT)))
 
@@ -121,7 +121,7 @@ class Tables:
             "o_orderdate",
         )
         chained = windows.next_value(
-            rows, ["site", "attribute"], ["o_orderdate", "val"], {"p_to": "p_from"}, windows.by_month("o_orderdate")
+            rows, ["site", "attribute"], ["o_orderdate", "val"], {"p_to": "p_from"}
         )
         return stage(chained.withColumn("p_to", F.coalesce("p_to", open_end())).drop("o_orderdate"), "dated")
 

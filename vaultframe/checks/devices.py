@@ -36,7 +36,7 @@ from vaultframe.plans.service_points import point_devices, site_geometry
 )
 def p_service_point_device(t: Tables):
     rows = t.events.select("event_id", "user_id", "event_type", "ts")
-    rows = windows.next_value(rows, ["user_id"], ["ts"], {"eff_end": "ts"}, windows.by_hour("ts"))
+    rows = windows.next_value(rows, ["user_id"], ["ts"], {"eff_end": "ts"})
     relations = rows.select(
         key("PT", "user_id").alias("point_key"),
         key("DV", "event_type").alias("device_key"),

@@ -147,7 +147,7 @@ def fold_category(t: Tables):
 )
 def default_end(t: Tables):
     rows = t.events.select("user_id", "ts")
-    rows = windows.next_value(rows, ["user_id"], ["ts"], {"next_ts": "ts"}, windows.by_hour("ts"))
+    rows = windows.next_value(rows, ["user_id"], ["ts"], {"next_ts": "ts"})
     return rows.select(
         "user_id",
         "ts",

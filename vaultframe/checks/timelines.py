@@ -56,7 +56,7 @@ def clean_slices_min_end(t: Tables):
 )
 def closed_end(t: Tables):
     rows = t.events.select("event_id", "user_id", "ts")
-    rows = windows.next_value(rows, ["user_id"], ["ts"], {"eff_end": "ts"}, windows.by_hour("ts"))
+    rows = windows.next_value(rows, ["user_id"], ["ts"], {"eff_end": "ts"})
     return rows.select(
         "event_id", dates.closed_end("eff_end", 1).alias("end_less_1"), dates.closed_end("eff_end", 0).alias("end_less_0")
     )

@@ -117,7 +117,7 @@ def current_per_day(t: Tables):
 )
 def validity_periods(t: Tables):
     daily = versions.current_per_day(t.sat, ["user_id"], "extract_ts", ["event_id"])
-    periods = versions.validity_from_versions(daily, ["user_id"], "extract_ts", text=True)
+    periods = versions.validity_from_versions(daily, ["user_id"], "extract_ts", text=True, daily=True)
     return periods.select("user_id", "event_id", "valid_from", "valid_to")
 
 
@@ -193,7 +193,7 @@ def top2_values(t: Tables):
 def win_row_number(t: Tables):
     rows = t.events.select("event_id", "user_id", "ts")
     return windows.row_numbers(
-        rows, ["user_id"], ["ts", "event_id"], "rn", windows.by_hour("ts"), ascending=False
+        rows, ["user_id"], ["ts", "event_id"], "rn", ascending=False
     ).select("event_id", "user_id", "rn")
 
 
@@ -203,7 +203,7 @@ def win_row_number(t: Tables):
 )
 def win_rank(t: Tables):
     rows = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))
-    return windows.ranks(rows, ["o_custkey"], ["day"], "rk", windows.by_month("day")).select(
+    return windows.ranks(rows, ["o_custkey"], ["day"], "rk").select(
         "o_orderkey", "o_custkey", "rk"
     )
 
@@ -216,7 +216,7 @@ def win_rank(t: Tables):
 def win_lead(t: Tables):
     rows = t.events.select("event_id", "user_id", "event_type", "ts")
     wanted = {"next_ts": "ts", "next_type": "event_type"}
-    return windows.next_value(rows, ["user_id"], ["ts"], wanted, windows.by_hour("ts")).select(
+    return windows.next_value(rows, ["user_id"], ["ts"], wanted).select(
         "event_id", "next_ts", "next_type"
     )
 
@@ -229,7 +229,7 @@ def win_lead(t: Tables):
 def win_lag(t: Tables):
     rows = t.events.select("event_id", "user_id", "value", "ts")
     wanted = {"last_ts": "ts", "last_value": "value"}
-    return windows.previous_value(rows, ["user_id"], ["ts"], wanted, windows.by_hour("ts")).select(
+    return windows.previous_value(rows, ["user_id"], ["ts"], wanted).select(
         "event_id", "last_ts", "last_value"
     )
 
@@ -248,6 +248,5 @@ def win_running_min_max(t: Tables):
         ["l_shipdate"],
         {"low_qty": "l_quantity"},
         {"high_qty": "l_quantity"},
-        windows.by_month("l_shipdate"),
     )
     return out.drop("l_suppkey", "l_quantity")

@@ -104,8 +104,7 @@ def array_timeline(
     """
     consistent = [F.col(s).isNull() | F.col("min_to").isNull() | (F.col(s) <= F.col("min_to")) for s in starts]
     rows = df.withColumn("min_to", F.array_min(F.array(*ends))).filter(reduce(lambda a, b: a & b, consistent))
-    cut = windows.by_month("min_to") if slice_by is None else slice_by
-    rows = windows.previous_value(rows, keys, ["min_to", *ties], {"__last_to": "min_to"}, cut)
+    rows = windows.previous_value(rows, keys, ["min_to", *ties], {"__last_to": "min_to"}, slice_by)
     ordered = F.array_sort(F.array(*starts))
     later = F.filter(ordered, lambda d: d > F.col("__last_to"))
     return rows.withColumns(

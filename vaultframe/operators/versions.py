@@ -92,16 +92,21 @@ def current_per_day(df: DataFrame, keys: list[str], ts: str, ties: Iterable[str]
 
 
 def validity_from_versions(
-    df: DataFrame, keys: list[str], ts: str, ties: Iterable[str] = (), text: bool = False
+    df: DataFrame, keys: list[str], ts: str, ties: Iterable[str] = (), text: bool = False, daily: bool = False
 ) -> DataFrame:
     """Versions to periods: from the extract day to the next version's day.
 
-    The last version stays open. Days come as dates, or as ``yyyyMMdd`` text.
+    The last version stays open. Days come as dates, or as ``yyyyMMdd`` text. ``daily`` says that a key
+    has one row a day at most, as after :func:`current_per_day`: its window is bounded by the calendar, and
+    the input is read once.
     """
-    daily = df.withColumn("valid_from", F.col(ts).cast("date"))
-    periods = windows.next_value(
-        daily, keys, [ts, *ties], {"valid_to": "valid_from"}, windows.by_month(ts)
-    ).withColumn("valid_to", F.coalesce("valid_to", open_end()))
+    rows = df.withColumn("valid_from", F.col(ts).cast("date"))
+    if daily:
+        following = F.lead("valid_from").over(Window.partitionBy(*keys).orderBy("valid_from"))
+        periods = rows.withColumn("valid_to", following)
+    else:
+        periods = windows.next_value(rows, keys, [ts, *ties], {"valid_to": "valid_from"})
+    periods = periods.withColumn("valid_to", F.coalesce("valid_to", open_end()))
     if text:
         periods = periods.withColumns({c: day_text(c) for c in ("valid_from", "valid_to")})
     return periods

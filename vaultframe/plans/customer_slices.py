@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultframe.functions.columns import not_blank
 from vaultframe.functions.dates import as_of, floor_date, open_end, parse_day
+from vaultframe.operators import windows
 from vaultframe.operators.joins import overlap_join, resolve
 from vaultframe.operators.timeline import rank_slices, time_slice, timeline
 from vaultframe.operators.versions import (
@@ -71,7 +72,7 @@ def partner_names(names: DataFrame, run_dt: date | str) -> DataFrame:
     """Last name of each day, each valid to the next one's day."""
     daily = current_per_day(as_of(names, run_dt, "extract_ts"), ["partner_key"], "extract_ts", ["seq"])
     daily = daily.filter(not_deleted())
-    periods = validity_from_versions(daily, ["partner_key"], "extract_ts", ["seq"])
+    periods = validity_from_versions(daily, ["partner_key"], "extract_ts", ["seq"], daily=True)
     return periods.select(
         "partner_key",
         "name_org1",
@@ -95,19 +96,21 @@ def partner_addresses(addresses: DataFrame, run_dt: date | str, kind: str) -> Da
 def phone_history(phones: DataFrame, run_dt: date | str) -> DataFrame:
     """Every live phone of an address, valid from its extract day to the next one's; the last is open.
 
-    The second number is the one that follows in order of preference, deleted or not.
+    The second number is the one that follows in order of preference, deleted or not: in ascending
+    order of the same columns, the one before.
     """
-    preference = Window.partitionBy("address_key").orderBy(*newest("flag_default", "cons_number", "seq"))
-    chain = Window.partitionBy("address_key").orderBy("extract_ts", "seq")
-    rows = as_of(phones, run_dt, "extract_ts").withColumn("tel_number2", F.lead("tel_number").over(preference))
-    day = F.col("extract_ts").cast("date")
-    return rows.filter(not_deleted()).select(
+    preferred = {"tel_number2": "tel_number"}
+    rows = as_of(phones, run_dt, "extract_ts")
+    rows = windows.previous_value(rows, ["address_key"], ["flag_default", "cons_number", "seq"], preferred)
+    live = rows.filter(not_deleted()).withColumn("tel_from", F.col("extract_ts").cast("date"))
+    live = windows.next_value(live, ["address_key"], ["extract_ts", "seq"], {"tel_to": "tel_from"})
+    return live.select(
         "address_key",
         F.col("tel_number").alias("tel_number1"),
         "tel_number2",
         "cons_number",
-        day.alias("tel_from"),
-        F.coalesce(F.lead(day).over(chain), open_end()).alias("tel_to"),
+        "tel_from",
+        F.coalesce("tel_to", open_end()).alias("tel_to"),
     )
 
 

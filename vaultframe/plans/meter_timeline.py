@@ -113,7 +113,6 @@ def meter_timeline(
         ["typ_to", "read_to", "removal_date"],
         "removal_date",
         ["read_from", "typ_from", "install_date", "id_from"],
-        F.substring("min_to", 1, 6),
     )
     lines = stage(lines, "timeline")
 
