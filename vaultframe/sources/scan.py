@@ -99,8 +99,8 @@ def jdbc_tables(spark: SparkSession, url: str, **kwargs) -> DataFrame:
     return scan_jdbc(spark, url, query="SELECT * FROM INFORMATION_SCHEMA.TABLES", **kwargs)
 
 
-def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Files below a folder with directory and size; contents are not read."""
+def file_manifest(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Files below a folder (or several) with directory and size; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(
         F.regexp_replace("path", "/[^/]*$", "").alias("directory"),

@@ -7,12 +7,15 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date
 from math import ceil
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vaultframe.functions.dates import as_date
+from vaultframe.sources import files
+from vaultframe.sources.compaction import compact_files, table_folders
 from vaultframe.sources.scan import file_manifest
 
 
@@ -46,37 +49,83 @@ def rebuild_table(df: DataFrame, name: str, path: str | None = None) -> DataFram
     return spark.table(name)
 
 
-def _register_run(spark: SparkSession, table: str, run_col: str, day: date, folder: str) -> None:
-    spec = f"PARTITION ({run_col} = DATE '{day.isoformat()}')"
+def _literal(value: object) -> str:
+    """A partition value in SQL; null is the partition of rows without one."""
+    if value is None:
+        return "NULL"
+    text = value.isoformat() if isinstance(value, date) else str(value)
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _point_run(spark: SparkSession, table: str, run_col: str, run: object, folder: str) -> None:
+    """Make a folder the place of one run in the catalog: readers see the old files or the new ones, never a mixture."""
+    spec = f"PARTITION (`{run_col}` = {_literal(run)})"
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{folder}'")
+    spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{folder}'")
     spark.catalog.refreshTable(table)
 
 
 def replace_run(df: DataFrame, path: str, run_col: str, run_dt: date | str, table: str | None = None) -> None:
-    """Replace one run's partition; the other runs are not touched.
+    """Replace one run; the other runs are not touched.
+
+    The rows are written aside, and only a complete write is published: a call that is rejected,
+    fails or is killed leaves the stored run as it was, and so does a concurrent call until its own turn
+    (the last to publish wins). A run without rows ends up empty. A row of another run fails the write: see
+    :func:`write_runs` for frames of several runs.
 
-    The partition folder itself is overwritten, so a run without rows leaves none
-    behind, which dynamic partition overwrite would not do. A row of another run
-    fails the write: see :func:`write_runs` for frames of several runs. ``table``
-    is a catalog table on ``path`` that is to learn of the run.
+    With ``table``, a catalog table on ``path``, publishing points the run's partition to the new folder, in one
+    step; the old folder stays for readers that still hold it (:func:`drop_replaced_runs`). Without it, the run's
+    folder is swapped by renames (``files.swap_in``).
     """
-    day = as_date(run_dt)
+    spark, day = df.sparkSession, as_date(run_dt)
     if run_col in df.columns:
         own = F.col(run_col).eqNullSafe(F.lit(day))
         df = df.filter(F.assert_true(own, F.concat(F.lit(f"row of another run than {day}: "), F.coalesce(F.col(run_col).cast("string"), F.lit("null")))).isNull())
         df = df.drop(run_col)
-    folder = f"{path}/{run_col}={day.isoformat()}"
-    df.write.mode("overwrite").parquet(folder)
+    version = uuid.uuid4().hex
+    name = f"{run_col}={day.isoformat()}"
+    coming = f"{path}/{files.HIDDEN}runs/{name}/v-{version}"
+    try:
+        df.write.parquet(coming)
+    except BaseException:
+        files.delete(spark, coming)
+        raise
     if table:
-        _register_run(df.sparkSession, table, run_col, day, folder)
+        _point_run(spark, table, run_col, day, coming)
+    else:
+        files.swap_in(spark, coming, f"{path}/{name}", f"{path}/{files.HIDDEN}runs/{name}/old-{version}")
 
 
 def write_runs(df: DataFrame, path: str, run_col: str, table: str | None = None) -> None:
-    """Replace every run that the frame has rows of, in one job; runs without rows in it stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run_col).parquet(path)
-    if table:
-        df.sparkSession.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-        df.sparkSession.catalog.refreshTable(table)
+    """Replace every run that the frame has rows of, in one job; runs without rows in it stay.
+
+    With ``table`` the runs are written aside and then pointed to one by one, as in :func:`replace_run`.
+    """
+    if not table:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run_col).parquet(path)
+        return
+    spark = df.sparkSession
+    version = f"{path}/{files.HIDDEN}runs/all-{uuid.uuid4().hex}"
+    df.write.partitionBy(run_col).parquet(version)
+    kind = df.schema[run_col].dataType
+    for folder in files.names(spark, version):  # one for each run
+        if folder.startswith(f"{run_col}="):
+            value = unquote(folder.split("=", 1)[1])
+            run = None if value == "__HIVE_DEFAULT_PARTITION__" else date.fromisoformat(value) if isinstance(kind, T.DateType) else value
+            _point_run(spark, table, run_col, run, f"{version}/{folder}")
+
+
+def drop_replaced_runs(spark: SparkSession, path: str, run_col: str, table: str) -> int:
+    """Delete the folders of ``path`` that the table's runs no longer lie in; returns how many."""
+    used = {folder.removeprefix("file:").replace("///", "/") for folder in table_folders(spark, table)}
+    root, dropped = f"{path}/{files.HIDDEN}runs", 0
+    for name in files.names(spark, root):
+        for version in files.names(spark, f"{root}/{name}"):
+            folder = f"{root}/{name}/{version}"
+            if version.startswith(("v-", "old-", f"{run_col}=")) and folder.removeprefix("file:").replace("///", "/") not in used:
+                files.delete(spark, folder)
+                dropped += 1
+    return dropped
 
 
 @dataclass(frozen=True)
@@ -129,16 +178,17 @@ def _file_count(spark: SparkSession, path: str, target_mb: int) -> int:
 
 
 def compact(spark: SparkSession, path: str, target: str, target_mb: int = 256, fmt: str = "parquet") -> int:
-    """Rewrite a folder as files of about ``target_mb``; returns the file count.
+    """Copy a folder into files of at least about ``target_mb``; returns the file count.
 
     The rows go to a new folder and the old one stays as it is, so readers are
-    not disturbed and a failed run loses nothing.
+    not disturbed and a failed run loses nothing. Neighbouring input splits are joined, nothing is shuffled. See
+    ``compaction.compact_files`` for merging the small files alone.
     """
     if path.rstrip("/") == target.rstrip("/"):
         raise ValueError("compaction needs a folder of its own")
-    parts = _file_count(spark, path, target_mb)
-    spark.read.format(fmt).load(path).repartition(parts).write.format(fmt).mode("overwrite").save(target)
-    return parts
+    rows = spark.read.format(fmt).load(path).coalesce(_file_count(spark, path, target_mb))
+    rows.write.format(fmt).mode("overwrite").save(target)
+    return rows.rdd.getNumPartitions()
 
 
 def table_location(spark: SparkSession, name: str) -> str:
@@ -146,32 +196,20 @@ def table_location(spark: SparkSession, name: str) -> str:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
 
 
-def compact_tables(spark: SparkSession, names: Iterable[str], target_root: str, target_mb: int = 256) -> dict[str, int]:
-    """Compact catalog tables into new folders of this call and point each one to its folder.
+def compact_tables(spark: SparkSession, names: Iterable[str], target_root: str, target_mb: float = 256) -> dict[str, int]:
+    """Compact catalog tables; returns the files written for each.
 
-    A partitioned table is compacted partition by partition. The old files stay.
+    A table without partitions is copied into a new folder of this call and pointed to it; its old files stay. The
+    small files of a partitioned table are merged where they lie, in one job for all partitions.
     """
     done = {}
     for name in names:
-        target = f"{target_root}/{name.replace('.', '/')}-{uuid.uuid4().hex}"
-        columns = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-        if columns:
-            done[name] = _compact_partitions(spark, name, target, target_mb)
+        if any(c.isPartition for c in spark.catalog.listColumns(name)):
+            folders = table_folders(spark, name)
+            done[name] = compact_files(spark, table_location(spark, name), folders, target_mb)[1] if folders else 0
         else:
+            target = f"{target_root}/{name.replace('.', '/')}-{uuid.uuid4().hex}"
             done[name] = compact(spark, table_location(spark, name), target, target_mb)
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
         spark.catalog.refreshTable(name)
     return done
-
-
-def _compact_partitions(spark: SparkSession, name: str, target: str, target_mb: int) -> int:
-    """Each partition is rewritten on its own and repointed when its new files are complete."""
-    files = 0
-    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        values = dict(part.split("=", 1) for part in row["partition"].split("/"))
-        spec = ", ".join(f"{c} = '{v}'" for c, v in values.items())
-        told = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({spec})").filter("col_name = 'Location'").first()["data_type"]
-        folder = f"{target}/{row['partition']}"
-        files += compact(spark, told, folder, target_mb)
-        spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{folder}'")
-    return files
