@@ -220,7 +220,8 @@ def test_token_files_give_every_document_back(spark, awkward):
 
 
 def test_token_files_are_bounded_and_read_in_ranges(spark, docs, monkeypatch):
-    monkeypatch.setattr(tokenfiles, "FILE_TOKENS", 5000)
+    monkeypatch.setattr(tokenfiles, "ROW_TOKENS", 1500)
+    monkeypatch.setattr(tokenfiles, "FILE_ROWS", 3)
     path = new_work_path(spark, "tokens")
     tokenfiles.write_token_files(docs.repartition(3, "doc_id"), path, queries.tokenizer_file(), queries.END_OF_TEXT)
     files = tokenfiles.read_token_files(spark, path)

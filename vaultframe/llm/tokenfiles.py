@@ -6,9 +6,9 @@ block edges is stitched by a prefix scan, first over the blocks of a file, then
 over the files of a stream: tokens before a block, and the last end before it.
 
 Files are written by Spark's text writer, so any store that Spark writes to will do: a row
-is the identifiers of one file, and the line separator is the end identifier of its last document. A
-file is closed at the first document that takes it to ``FILE_TOKENS``, so its size is bounded by
-that and one document. Files are read by their bytes (``binaryFile``) and handed to
+is the identifiers of some documents, and the line separator is the end identifier of its last one. A
+row is closed at the first document that takes it to ``ROW_TOKENS`` and a file after ``FILE_ROWS`` rows, so
+their sizes are bounded by these and a document for each row. Files are read by their bytes (``binaryFile``) and handed to
 the scan in ranges of ``RANGE_BYTES``, never whole.
 
 The scan's levels - block, file, the files of one writer task, stream - keep every window short: a
@@ -28,8 +28,9 @@ from vaultframe.llm.bpe import Encoder, Vocabulary, few_at_a_time, shared_vocabu
 from vaultframe.session import stage
 
 BLOCK_TOKENS = 1 << 20
-FILE_TOKENS = 1 << 21
-RANGE_BYTES = 1 << 20  # a multiple of every width
+ROW_TOKENS = 1 << 17
+FILE_ROWS = 16
+RANGE_BYTES = 1 << 18  # a multiple of every width
 GROUP_FILES = 1 << 16
 #: Bytes of an identifier -> the encoding in which one character is one identifier.
 ENCODINGS = {2: "UTF-16LE", 4: "UTF-32LE"}
@@ -53,14 +54,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int, widt
                 for ids in encoder.encode_all(texts):
                     parts.append(np.array(ids, f"<u{width}").tobytes())
                     held += len(ids) + 1
-                    if held >= FILE_TOKENS:
+                    if held >= ROW_TOKENS:
                         yield pa.RecordBatch.from_arrays([pa.array([closing.join(parts)], pa.binary())], ["ids"])
                         parts, held = [], 0
         if parts:
             yield pa.RecordBatch.from_arrays([pa.array([closing.join(parts)], pa.binary())], ["ids"])
 
     ids = docs.select("text").mapInArrow(run, "ids binary").select(F.col("ids").cast("string"))
-    ids.write.option("encoding", ENCODINGS[width]).option("lineSep", chr(end)).option("maxRecordsPerFile", 1).text(path)
+    ids.write.option("encoding", ENCODINGS[width]).option("lineSep", chr(end)).option("maxRecordsPerFile", FILE_ROWS).text(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
