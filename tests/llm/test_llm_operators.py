@@ -407,6 +407,58 @@ def test_mixing_meets_its_limit_and_loses_nothing(docs, awkward, nothing):
     assert mixing.mixed(nothing).count() == 0
 
 
+def test_mixing_equals_a_replay_of_its_plan(spark, docs, monkeypatch):
+    """Budget, epochs, block order and the cut replayed in Python from the documents alone."""
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 2000)
+    target = mixing.Target(max_repeats=3.0)
+    extra = docs.limit(40)  # repeated rows
+    frame = docs.unionByName(extra).unionByName(docs.limit(3).withColumn("source", F.lit(None).cast("string")))
+    rows = frame.select("doc_id", "source", mixing.n_words().alias("n"), F.pmod(F.xxhash64("doc_id", F.lit(mixing.SEED)), F.lit(mixing.CELLS)).alias("cell"))
+    rows = [(r["doc_id"], r["source"], r["n"], r["cell"]) for r in rows.collect()]
+    tokens = Counter()
+    for _, s, n, _ in rows:
+        tokens[s] += n
+    named = {"null" if s is None else f"={s}": n for s, n in tokens.items()}
+    _, w = mixing.solve(named, target)
+    budget = mixing.budget_of(named, w, target)
+
+    def hashes(values, columns):
+        return [r["h"] for r in spark.createDataFrame(values, columns).coalesce(1).selectExpr(f"xxhash64({', '.join(c.split()[0] for c in columns.split(', '))}, {mixing.SEED}) AS h").collect()]
+
+    want = Counter()
+    for s, n in tokens.items():
+        k = "null" if s is None else f"={s}"
+        blocks = max(1, min(mixing.CELLS, math.ceil(n / mixing.BLOCK_TOKENS)))
+        epochs = math.floor(w[k] * budget / n + 1e-9)
+        rest = max(0, math.floor(w[k] * budget - epochs * n + 1e-6))
+        own = [(d, m, c % blocks) for d, source, m, c in rows if source == s]
+        sizes = Counter()
+        for _, m, b in own:
+            sizes[b] += m
+        for d, _, _ in own:
+            want.update({(d, s, e): 1 for e in range(epochs)})
+        there = sorted(sizes)
+        order = sorted(zip(hashes([(k, b, epochs) for b in there], "kind string, block int, epoch int"), there, strict=True))
+        for _, b in order:
+            if rest <= 0:
+                break
+            inside = [(d, m) for d, m, c in own if c == b]
+            if rest >= sizes[b]:
+                want.update((d, s, epochs) for d, _ in inside)
+            else:
+                turns = hashes([(d, epochs) for d, _ in inside], "doc_id long, epoch int")
+                groups = Counter(zip(turns, inside, strict=True))
+                used = 0
+                for (_, (d, m)), times in sorted(groups.items()):
+                    used += m * times
+                    if used > rest:
+                        break
+                    want[d, s, epochs] += times
+            rest -= sizes[b]
+    got = Counter((r["doc_id"], r["source"], r["epoch"]) for r in mixing.mixed(frame, target).collect())
+    assert got == want
+
+
 def test_mixing_weights_follow_the_target():
     tokens = {"a": 900_000, "b": 90_000, "c": 10_000}
     alpha, w = mixing.solve(tokens, mixing.Target(max_repeats=None, entropy=0.8))

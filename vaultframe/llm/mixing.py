@@ -30,6 +30,8 @@ from vaultframe.session import stage
 CELLS = 4096
 BLOCK_TOKENS = 20_000
 SEED = 20_25
+#: Tables of at most this many rows (some dozen bytes each) are sent to every task; larger ones are joined by a shuffle.
+SENT_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -81,6 +83,29 @@ def n_words(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _sent(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= SENT_ROWS else table
+
+
+def _borders(cut: DataFrame) -> DataFrame:
+    """Where each cut block ends: rows of ``kind``, ``epoch``, ``border`` (a slice of the order) and ``last`` (a place in it, null: before
+    the slice's first row).
+
+    ``cut`` has ``kind``, ``epoch``, ``left``, ``place`` (its first field is a hash) and ``n_tokens``. The order is cut into slices by the
+    hash's upper bits; a prefix sum over the slices finds the one that the budget ends in, and only its rows are summed one by
+    one. Rows of equal places are used together or not at all.
+    """
+    sliced = cut.withColumn("slice", F.shiftright("place.turn", 54))
+    sums = sliced.groupBy("kind", "epoch", "slice", "left").agg(F.sum("n_tokens").alias("tokens"))
+    earlier = Window.partitionBy("kind", "epoch").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("before", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
+    border = sums.where("before <= left and before + tokens > left").select("kind", "epoch", F.col("slice").alias("border"), "before")
+    inside = sliced.join(border, ["kind", "epoch"]).where("slice = border")
+    so_far = F.col("before") + F.sum("n_tokens").over(Window.partitionBy("kind", "epoch").orderBy("place"))
+    last = inside.withColumn("so_far", so_far).where("so_far <= left").groupBy("kind", "epoch").agg(F.max("place").alias("last"))
+    return border.join(last, ["kind", "epoch"], "left").select("kind", "epoch", "border", "last")
+
+
 def mixed(docs: DataFrame, target: Target = Target()) -> DataFrame:  # noqa: B008
     """One row for each use of a document: ``row`` (the document), ``doc_id``, ``source``, ``n_tokens``, ``weight``,
     ``epoch`` (from 0), ``block``, ``block_rank`` (the block's place in the epoch's permutation, from 1)."""
@@ -109,12 +134,21 @@ def mixed(docs: DataFrame, target: Target = Target()) -> DataFrame:  # noqa: B00
     before = F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     uses = uses.select("kind", "block", "blocks", "weight", "epoch", "epochs", "tokens", (F.col("rest") - before).alias("left"), F.row_number().over(order).alias("block_rank"))
     uses = stage(uses.where("epoch < epochs or (left > 0 and tokens > 0)").withColumn("whole", F.expr("epoch < epochs or left >= tokens")), "uses")
-    by_kind = frame.join(plan.select("kind", F.col("blocks").alias("of")), "kind").withColumn("block", F.pmod("cell", "of").cast("int")).drop("of", "cell")
+    taken_blocks, cut_blocks = uses.where("whole"), uses.where("not whole")
+    of = _sent(plan.select("kind", F.col("blocks").alias("of")), len(shares))
+    by_kind = frame.join(of, "kind").withColumn("block", F.pmod("cell", "of").cast("int")).drop("of", "cell")
     out = ["row", "doc_id", "source", "n_tokens", "weight", "epoch", "block", "block_rank"]
-    taken = by_kind.join(uses.where("whole"), ["kind", "block"]).select(out)
-    turn = Window.partitionBy("kind", "epoch").orderBy(F.xxhash64("doc_id", "epoch", F.lit(SEED)), "doc_id")
-    cut = by_kind.join(uses.where("not whole"), ["kind", "block"]).withColumn("so_far", F.sum("n_tokens").over(turn.rowsBetween(Window.unboundedPreceding, 0)))
-    return taken.union(cut.where("so_far <= left").select(out))
+    taken = by_kind.join(_sent(taken_blocks, taken_blocks.count()), ["kind", "block"]).select(out)
+    # words are counted only in the blocks that the budget cuts: one for each source and epoch at most
+    place = F.struct(F.xxhash64("doc_id", "epoch", F.lit(SEED)).alias("turn"), "doc_id", "n_tokens").alias("place")
+    cut = packed(docs, doc_id=F.col("doc_id"), source=F.col("source"), text=F.col("text"), kind=kind, cell=cell).join(of, "kind")
+    cut = cut.withColumn("block", F.pmod("cell", "of").cast("int")).join(_sent(cut_blocks, len(shares)), ["kind", "block"])
+    cut = cut.withColumn("n_tokens", n_words()).select(*out, "kind", "left", place)
+    borders = stage(_borders(cut.select("kind", "epoch", "left", "place", "n_tokens")), "borders")
+    ended = cut.join(_sent(borders, len(shares)), ["kind", "epoch"])
+    slice_of = F.shiftright("place.turn", 54)
+    within = (slice_of < F.col("border")) | ((slice_of == F.col("border")) & F.coalesce(F.col("place") <= F.col("last"), F.lit(False)))
+    return taken.union(ended.where(within).select(out))
 
 
 def mix_query(docs: DataFrame, target: Target) -> DataFrame:
