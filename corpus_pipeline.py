@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vaultframe.llm import bpe, jaccard, language, mixing, quality
-from vaultframe.llm.common import table
+from vaultframe.llm.common import ready, table
 from vaultframe.llm.queries import tokenizer_file
-from vaultframe.session import stage, tune
+from vaultframe.session import stage
 
 #: Near copies: shingles of five words, similarity 0.8.
 NEAR_COPIES = jaccard.Likeness(words=5, of=80, per=100)
@@ -24,31 +24,31 @@ MIXTURE = mixing.Target(max_repeats=2.0)
 
 def name_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose language is recognised; learns from their own labels."""
-    tune(spark)
+    ready(spark)
     return language.keep_named(docs, language.learn(docs))
 
 
 def check_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that pass every quality rule."""
-    tune(spark)
+    ready(spark)
     return quality.keep_good(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of exact and near copies."""
-    tune(spark)
+    ready(spark)
     return jaccard.keep_one(docs, NEAR_COPIES)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once, and those of rare sources again as far as the mixture asks: a row for each use."""
-    tune(spark)
+    ready(spark)
     return mixing.mixed(docs, MIXTURE).select("row.*")
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` for each use of a document."""
-    tune(spark)
+    ready(spark)
     return bpe.encode_digests(docs, tokenizer_file())
 
 

@@ -5,12 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaultframe.session import tune
+
 #: A word: a run of anything but ASCII white space. Python's ``bytes.split()`` cuts at the same bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Lower-cases A-Z in UTF-8 bytes and leaves every other byte alone.
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
+#: What a task hands to Python at a time. Long texts make batches of Spark's own size (64 MB) heavy on both sides.
+ARROW_BYTES = 4 << 20
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """The session settings of the operators that hand whole texts to Python."""
+    tune(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultframe.llm import bpe, jaccard, language, lexical, licenses, lm, mixing, neighbours, quality, resampling, sharding, tokenfiles, topk
-from vaultframe.llm.common import remainder, table
+from vaultframe.llm.common import ready, remainder, table
 from vaultframe.session import new_work_path, tune
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -44,13 +44,13 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the corpus as flat token files, then finds every document's tokens again from the files alone."""
-    path = new_work_path(spark, "tokens")
+    path = new_work_path(ready(spark), "tokens")
     tokenfiles.write_token_files(documents(spark, sf_dir), path, tokenizer_file(), END_OF_TEXT)
     return tokenfiles.documents_of(tokenfiles.read_token_files(spark, path), END_OF_TEXT)
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.joined(documents(spark, sf_dir), jaccard.Likeness(words=3, of=90, per=100))
+    return jaccard.joined(documents(ready(spark), sf_dir), jaccard.Likeness(words=3, of=90, per=100))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
