@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from vaultframe.adapters import LSAT_KEYS, RUN_EVENTS, Tables
 from vaultframe.checks.registry import check, with_roles
 from vaultframe.functions.keys import audit_hash, hash_key
-from vaultframe.operators import quality, versions
+from vaultframe.operators import digests, quality, versions
 from vaultframe.operators.versions import newest
+from vaultframe.sources import footers
 
 COUNTED = """region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels
 conversations""".split()
@@ -19,6 +20,43 @@ def count_tables(t: Tables):
     return quality.count_tables({name: t.read(name) for name in COUNTED})
 
 
+@check("count_tables_footers", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in COUNTED))
+def count_tables_footers(t: Tables):
+    return footers.footer_counts(t.spark, {name: f"{t.sf_dir}/{name}.parquet" for name in COUNTED})
+
+
+KEYED = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+
+@check(
+    "key_extremes",
+    " UNION ALL ".join(f"SELECT '{n}' AS table_name, min({c}) AS lowest, max({c}) AS highest FROM {n}" for n, c in KEYED.items()),
+)
+def key_extremes(t: Tables):
+    return footers.footer_extremes(t.spark, {name: (f"{t.sf_dir}/{name}.parquet", c) for name, c in KEYED.items()})
+
+
+VARIANT = "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem"
+
+
+@check(
+    "differing_keys",
+    f"""WITH a AS ({VARIANT}), b AS (
+          SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 97 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity, l_returnflag
+          FROM a WHERE l_orderkey % 101 <> 0 OR l_linenumber <> 1)
+        SELECT l_orderkey, count(*) FILTER (side = 'a') AS rows_a, count(*) FILTER (side = 'b') AS rows_b
+        FROM (SELECT 'a' AS side, * FROM a UNION ALL SELECT 'b', * FROM b)
+        WHERE l_orderkey IN (SELECT l_orderkey FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+                             UNION SELECT l_orderkey FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a))
+        GROUP BY l_orderkey""",
+)
+def differing_keys(t: Tables):
+    first = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    raised = F.when(F.col("l_orderkey") % 97 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    second = first.filter("l_orderkey % 101 <> 0 OR l_linenumber <> 1").withColumn("l_quantity", raised)
+    return digests.differing_keys(first, second, ["l_orderkey"])
+
+
 @check(
     "count_live",
     with_roles(

@@ -10,6 +10,7 @@ from vaultframe.adapters import Tables
 from vaultframe.checks.registry import check, with_roles
 from vaultframe.functions import dates
 from vaultframe.session import new_work_path
+from vaultframe.operators import upkeep
 from vaultframe.sources import scan, sink
 
 
@@ -178,3 +179,24 @@ def staged_vs_landed(t: Tables):
     path = new_work_path(t.spark, "landed")
     t.customer.write.option("header", True).csv(path)
     return scan.staged_vs_landed(t.customer, scan.scan_csv(t.spark, path, header=True))
+
+
+STATE = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, extract_ts TIMESTAMP_NTZ, change_type STRING"
+
+
+@check(
+    "current_by_upkeep",
+    with_roles(
+        """SELECT * EXCLUDE (rn) FROM (SELECT event_id, user_id, event_type, value, extract_ts, change_type,
+             row_number() OVER (PARTITION BY user_id ORDER BY extract_ts DESC, event_id DESC) AS rn FROM sat)
+           WHERE rn = 1 AND change_type <> 'D'""",
+        "sat",
+    ),
+)
+def current_by_upkeep(t: Tables):
+    """The history replayed in three windows whose rows come late, early and twice."""
+    name, path = unique("newest"), new_work_path(t.spark, "newest")
+    state = upkeep.CurrentVersions(t.spark, name, path, ["user_id"], ["extract_ts", "event_id"], parts=8).create(STATE)
+    for some in ("event_id % 3 = 1", "event_id % 3 = 0", "event_id % 3 <> 0"):
+        state.merge(t.sat.filter(some))
+    return state.live()
