@@ -6,7 +6,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from vaultframe.operators import digests, versions
+from vaultframe import session
+from vaultframe.adapters import Tables
+from vaultframe.checks.storage import clustered_join
+from vaultframe.operators import digests, quality, versions
 from vaultframe.operators.upkeep import CurrentVersions
 from vaultframe.operators.versions import newest
 from vaultframe.session import new_work_path
@@ -82,3 +85,41 @@ def test_digests_find_exactly_the_differing_keys(spark, rows, monkeypatch):
     na, nb = count(a), count(b)
     assert got == {k: (na.get(k, 0), nb.get(k, 0)) for k in (77, 101, 42, 9999, None)}
     assert not digests.tables_equal(a, b, ["k"])
+
+
+def test_clustered_tables_need_no_exchange(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = clustered_join(Tables(spark, "/root/testdata/sf0.001"), 4)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "SortMergeJoin" in plan and "Bucketed: true" in plan
+
+
+def test_audits_ride_along_with_the_load(spark):
+    path, loads = new_work_path(spark, "audited"), []
+    df = spark.createDataFrame([("a", "web1", None), ("b", None, 3), (None, "tape", 12345)], "id STRING, source STRING, n INT")
+
+    def load(frame):
+        loads.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        frame.write.parquet(path)
+
+    audits = {"unexpected": quality.unexpected("source", "web%"), "too_long": quality.too_long({"n": 4, "id": 9}), "missing": quality.missing(["id", "n"])}
+    assert quality.audit_on_load(df, audits, load) == {"rows": 3, "unexpected": 1, "too_long": 1, "missing": 2}
+    assert len(loads) == 1 and loads[0].count("CollectMetrics") == 1 and spark.read.parquet(path).count() == 3
+
+
+def test_a_cluster_session_without_shared_folder_is_refused():
+    class Context:
+        master = "yarn"
+
+    class Session:
+        sparkContext = Context  # noqa: N815
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda name, default=None: default if name == "spark.checkpoint.dir" else "wh")
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.work_dir(Session)
+    Context.master = "local[4]"
+    assert session.work_dir(Session) == "wh/_work"

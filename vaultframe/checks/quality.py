@@ -9,6 +9,7 @@ from vaultframe.checks.registry import check, with_roles
 from vaultframe.functions.keys import audit_hash, hash_key
 from vaultframe.operators import digests, quality, versions
 from vaultframe.operators.versions import newest
+from vaultframe.session import new_work_path
 from vaultframe.sources import footers
 
 COUNTED = """region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels
@@ -104,6 +105,28 @@ def compare_variants(t: Tables):
     return quality.compare(before, after, ["user_id"])
 
 
+@check(
+    "audit_on_load",
+    with_roles(
+        """SELECT count(*) AS n_rows, count(*) FILTER (o_orderkey % 10 = 0) AS wrong_hash,
+             count(*) FILTER (o_orderstatus NOT LIKE 'F%') AS unexpected, count(*) FILTER (length(o_orderpriority) > 8) AS too_long,
+             count(*) FILTER (o_orderkey % 7 = 0) AS missing FROM orders""",
+    ),
+)
+def audit_on_load(t: Tables):
+    """Four audits ride along with the write that loads the table."""
+    spoilt = F.when(F.col("o_orderkey") % 10 == 0, F.lit("x")).otherwise(hash_key("o_custkey"))
+    rows = t.orders.withColumn("site_key", spoilt).withColumn("clerk", F.when(F.col("o_orderkey") % 7 != 0, F.lit("c")))
+    audits = {
+        "wrong_hash": quality.wrong_hash("site_key", ["o_custkey"]),
+        "unexpected": quality.unexpected("o_orderstatus", "F%"),
+        "too_long": quality.too_long({"o_orderpriority": 8, "o_custkey": 20}),
+        "missing": quality.missing(["o_custkey", "clerk"]),
+    }
+    told = quality.audit_on_load(rows, audits, lambda df: df.write.parquet(new_work_path(t.spark, "audited")))
+    return t.spark.createDataFrame([(told.pop("rows"), *told.values())], f"n_rows long, {', '.join(f'{n} long' for n in audits)}")
+
+
 @check(
     "audit_hash",
     """SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN sha1(o_custkey || '') ELSE sha1(o_custkey || ':') END AS site_key

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from vaultframe.adapters import Tables
 from vaultframe.checks.registry import check, with_roles
 from vaultframe.functions import dates
+from vaultframe.functions.keys import hash_key
 from vaultframe.session import new_work_path
 from vaultframe.operators import upkeep
+from vaultframe.operators.versions import first_per_key, newest
 from vaultframe.sources import scan, sink
 
 
@@ -107,8 +109,6 @@ DEVICE_EVENT = """parent_key CHAR(40), event_id BIGINT, event_type VARCHAR(20),
               value::FLOAT AS amount, ts + INTERVAL 1 HOUR AS load_ts, 10 AS tz_offset, ts::DATE AS event_day FROM events""",
 )
 def typed_table(t: Tables):
-    from vaultframe.functions.keys import hash_key
-
     spec = sink.TableSpec(unique("sat_device_event"), DEVICE_EVENT, ("event_day",), "device events")
     sink.create_table(t.spark, spec, new_work_path(t.spark, "typed"))
     rows = t.events.select(
@@ -200,3 +200,26 @@ def current_by_upkeep(t: Tables):
     for some in ("event_id % 3 = 1", "event_id % 3 = 0", "event_id % 3 <> 0"):
         state.merge(t.sat.filter(some))
     return state.live()
+
+
+@check(
+    "sat_link_clustered",
+    with_roles(
+        """SELECT k.site_key, s.l_orderkey, s.l_linenumber, s.extract_ts FROM (
+             SELECT sha1(l_orderkey || ':') AS meter_key, l_orderkey, l_linenumber, l_shipdate AS extract_ts, row_number() OVER (
+               PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC) AS rn FROM lineitem) s
+           JOIN lnk_site_meter k ON s.meter_key = k.meter_key WHERE rn = 1""",
+        "lnk_site_meter",
+    ),
+)
+def sat_link_clustered(t: Tables):
+    """The newest version of each key, joined to its link, on tables clustered by the key."""
+    return clustered_join(t, 8)
+
+
+def clustered_join(t: Tables, buckets: int):
+    sat = t.lineitem.select(hash_key("l_orderkey").alias("meter_key"), "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("extract_ts"))
+    sat = sink.write_clustered(sat, unique("sat"), new_work_path(t.spark, "sat"), "meter_key", buckets)
+    link = sink.write_clustered(t.lnk_site_meter, unique("link"), new_work_path(t.spark, "link"), "meter_key", buckets)
+    latest = first_per_key(sat, ["meter_key"], newest("extract_ts", "l_linenumber"))
+    return latest.join(link, "meter_key").select("site_key", "l_orderkey", "l_linenumber", "extract_ts")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from vaultframe.functions.keys import hash_key
+
 
 def _per_table(frames: Mapping[str, DataFrame], measure: Column) -> DataFrame:
     rows = [df.agg(measure).select(F.lit(name).alias("table_name"), "*") for name, df in frames.items()]
@@ -67,3 +69,33 @@ def length_audit(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
 def null_audit(df: DataFrame, cols: list[str]) -> DataFrame:
     """Rows in which one of the columns is missing."""
     return df.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols]))
+
+
+def wrong_hash(key: str, cols: list[str]) -> Column:
+    """True for a row whose stored key is not the one its business keys give."""
+    return ~F.col(key).eqNullSafe(hash_key(*cols))
+
+
+def unexpected(col: str, pattern: str) -> Column:
+    """True for a value outside its domain; a missing one is not judged."""
+    return ~F.col(col).like(pattern)
+
+
+def too_long(limits: Mapping[str, int]) -> Column:
+    return reduce(lambda a, b: a | b, [F.length(F.col(c).cast("string")) > n for c, n in limits.items()])
+
+
+def missing(cols: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+
+
+def audit_on_load(df: DataFrame, audits: Mapping[str, Column], load: Callable[[DataFrame], object]) -> dict[str, int]:
+    """Load a table and count, in the same pass, its rows and those that each audit objects to.
+
+    ``load`` writes the frame that it is given, once. The counts ride along with the write's tasks, so several
+    audits cost no scan of their own; a condition that is null does not object.
+    """
+    seen = Observation()
+    counts = [F.count_if(F.coalesce(rule, F.lit(False))).alias(name) for name, rule in audits.items()]
+    load(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts))
+    return dict(seen.get)

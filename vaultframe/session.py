@@ -44,11 +44,15 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediates: ``spark.checkpoint.dir``.
 
-    A session without the setting gets a folder beside its warehouse, which the
-    executors share as well; no machine-local folder is ever used.
+    Only a session whose driver and executors are one process may do without the setting and gets a folder beside its
+    warehouse; on a cluster a folder of the driver's machine would be lost to the executors, so there it is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return shared.rstrip("/") if shared else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 RUN: list[str] = []
