@@ -389,6 +389,20 @@ def test_license_scan_equals_sql(docs, awkward, nothing):
     assert licenses.scan(nothing).count() == 0
 
 
+def test_every_spelling_of_every_signature_is_found(spark):
+    rows = []
+    draw = np.random.default_rng(6)
+    for k, signature in enumerate(licenses.SIGNATURES):
+        found = sorted(licenses.spellings(signature.pattern.removeprefix("^").removesuffix("(?: |$)")))
+        assert all(len(x.split()) <= licenses.SPAN for x in found)
+        for x in found if len(found) <= 12 else draw.choice(found, 12, replace=False):
+            rows.append((len(rows), f"xx {x} yy", k))
+    rows += [(len(rows) + n, f"xx {x} yy", -1) for n, x in enumerate(("gplv3 license", "agplv3 license", "lgplv2 license"))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, k long")
+    got = {r["doc_id"]: r["detections"] for r in licenses.scan(frame).collect()}
+    assert len(rows) > 1500 and [t for d, t, _ in rows if not any(x["start"] == 1 for x in got[d])] == []
+
+
 def test_mixing_meets_its_limit_and_loses_nothing(docs, awkward, nothing):
     for frame in (docs, awkward):
         target = mixing.Target(max_repeats=2.0)

@@ -84,9 +84,8 @@ LICENSES = (
 
 @dataclass(frozen=True)
 class Form:
-    """``words``: those that can open it; None stands for the first words of the names. ``{name}`` is filled in."""
+    """``{name}`` is filled in."""
 
-    words: tuple[str, ...] | None
     pattern: str
     score: float
 
@@ -95,23 +94,50 @@ _NOUN = "licen[sc]e"
 _LED = r"(?:licensed|licenced|released|distributed|available|provided|published)"
 #: Forms of speech in order of priority.
 FORMS = (
-    Form(("spdx",), r"spdx license identifier {name}", 1.0),
-    Form(("licensed", "licenced"), r"licen[sc]ed under (?:the )?(?:terms of )?(?:the )?{name}(?: licen[sc]e)?", 0.95),
-    Form(("released", "distributed", "available", "provided", "published"), rf"(?:released|distributed|available|provided|published) under (?:the )?(?:terms of )?(?:the )?{{name}} {_NOUN}", 0.95),
-    Form(("subject", "under"), rf"(?:subject to|under) (?:the )?terms of (?:the )?{{name}} {_NOUN}", 0.9),
-    Form(("license", "licence"), rf"{_NOUN} {{name}}(?: {_NOUN})?", 0.7),
-    Form(None, rf"{{name}} {_NOUN}(?: version [0-9]+(?: [0-9]+)?)?", 0.8),
+    Form(r"spdx license identifier {name}", 1.0),
+    Form(r"licen[sc]ed under (?:the )?(?:terms of )?(?:the )?{name}(?: licen[sc]e)?", 0.95),
+    Form(rf"(?:released|distributed|available|provided|published) under (?:the )?(?:terms of )?(?:the )?{{name}} {_NOUN}", 0.95),
+    Form(rf"(?:subject to|under) (?:the )?terms of (?:the )?{{name}} {_NOUN}", 0.9),
+    Form(rf"{_NOUN} {{name}}(?: {_NOUN})?", 0.7),
+    Form(rf"{{name}} {_NOUN}(?: version [0-9]+(?: [0-9]+)?)?", 0.8),
 )
 BASE_SCORE = 0.6
 
 
-def first_words(name: str) -> tuple[str, ...]:
-    """Words a name's pattern can open with: those of its optional or alternative heads and of what follows."""
-    if name.startswith("(?:") and (end := name.index(")")) >= 0:
-        inside = [x.split(" ")[0] for x in name[3:end].split("|")]
-        rest = name[end + 1 :]
-        return (*inside, *first_words(rest[1:])) if rest.startswith("?") else tuple(inside)
-    return (name.split(" ")[0].split("(")[0],)
+def spellings(pattern: str, whole: bool = True) -> set[str]:
+    """The strings a pattern of letters, ``(?:a|b)``, ``[ab]`` and ``?`` matches; of ``[0-9]+`` one digit stands for all.
+
+    ``whole=False`` gives their first words only.
+    """
+
+    def glued(heads: set[str], tails: set[str]) -> set[str]:
+        return {h if not whole and " " in h else h + t for h in heads for t in tails}
+
+    def alternatives(at: int) -> tuple[set[str], int]:
+        every: set[str] = set()
+        heads = {""}
+        while at < len(pattern) and pattern[at] != ")":
+            if pattern[at] == "|":
+                every, heads, at = every | heads, {""}, at + 1
+                continue
+            if pattern.startswith("(?:", at):
+                part, at = alternatives(at + 3)
+                at += 1
+            elif pattern[at] == "[":
+                end = pattern.index("]", at)
+                inside = pattern[at + 1 : end]
+                part, at = {inside[0]} if "-" in inside else set(inside), end + 1
+            else:
+                part, at = {pattern[at]}, at + 1
+            if pattern[at : at + 1] == "?":
+                part, at = part | {""}, at + 1
+            elif pattern[at : at + 1] == "+":
+                at += 1
+            heads = glued(heads, part)
+        return every | heads, at
+
+    found = alternatives(0)[0]
+    return found if whole else {x.split(" ")[0] for x in found}
 
 
 @dataclass(frozen=True)
@@ -124,9 +150,10 @@ class Signature:
 
 
 SIGNATURES = tuple(
-    Signature(form.words or first_words(name), keyword, "^" + form.pattern.format(name=f"(?:{name})") + r"(?: |$)", label, form.score)
+    Signature(tuple(sorted(spellings(pattern, whole=False))), keyword, f"^{pattern}(?: |$)", label, form.score)
     for form in FORMS
     for label, keyword, name in LICENSES
+    for pattern in [form.pattern.format(name=f"(?:{name})")]
 )
 OPENERS = tuple(sorted({word for s in SIGNATURES for word in s.words}))
 
@@ -205,19 +232,18 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def _sql() -> str:
-    """The same rules as SQL: one row for each word that can open a rule."""
-    quoted = lambda words: ", ".join(f"'{x}'" for x in words)
+    """The same rules as SQL, tried at every word with "licen" in its window: which words open a rule is not assumed."""
     tests = []
     for s in SIGNATURES:
-        tests.append(f"WHEN o IN ({quoted(s.words)}) AND contains(s, '{s.keyword}') AND regexp_matches(s, '{s.pattern}') THEN {len(tests)}")
+        tests.append(f"WHEN contains(s, '{s.keyword}') AND regexp_matches(s, '{s.pattern}') THEN {len(tests)}")
     rows = ", ".join(f"({k}, '{s.label}', {s.score}, '{s.pattern}')" for k, s in enumerate(SIGNATURES))
     phrases = " ".join(f"WHEN {' AND '.join(f"coalesce(w[i + {k + 1}], '') = '{x}'" for k, x in enumerate(p))} THEN '{label}'" for p, label in PHRASES)
     return rf"""
 WITH sig(k, label, score, pattern) AS (VALUES {rows}),
 d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-p AS (SELECT r, i, w, w[i + 1] AS o, array_to_string(w[i + 1:i + {SPAN}], ' ') AS s
-    FROM (SELECT r, w, unnest(range(0, len(w))) AS i FROM d) WHERE w[i + 1] IN ({quoted(sorted({*OPENERS, *(p[0] for p, _ in PHRASES)}))})),
+p AS (SELECT r, i, w, array_to_string(w[i + 1:i + {SPAN}], ' ') AS s
+    FROM (SELECT r, w, unnest(range(0, len(w))) AS i FROM d) WHERE contains(s, 'licen')),
 b AS (SELECT r, i, CASE {phrases} END AS label FROM p),
 h AS (SELECT r, i, s, CASE {' '.join(tests)} END AS k FROM p),
 e AS (SELECT r, i, label, score, i + len(string_split(trim(regexp_extract(s, pattern)), ' ')) AS stop FROM h JOIN sig USING (k)),
