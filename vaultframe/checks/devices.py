@@ -139,6 +139,9 @@ def lights_of(t: Tables, latest: bool):
     lights = t.customer.select(
         key("LI", "c_custkey").alias("equipment_key"),
         F.lit("2010-01-01").alias("connection_date"),
+        F.concat(F.lit("G"), (F.col("c_custkey") % 5).cast("string")).alias("control_gear"),
+        F.when(F.col("c_custkey") % 2 == 0, "2015-06-30").alias("lamp_changed"),
+        F.lit("2016-01-01").alias("billing_from"),
         F.col("c_mktsegment").alias("owner_name"),
         F.when(F.col("c_acctbal") < 0, "OFF").otherwise("ON").alias("billing_status"),
         F.lit("In service").alias("status"),
@@ -148,6 +151,7 @@ def lights_of(t: Tables, latest: bool):
         F.concat(F.lit(" "), "p_brand", F.lit(" ")).alias("manufacturer"),
         F.col("p_type").alias("model"),
         F.col("p_name").alias("lamp_type"),
+        F.concat(F.lit("T"), (F.col("p_size") % 4).cast("string")).alias("fitting"),
         F.col("p_size").alias("watts_rating"),
         F.col("p_retailprice").alias("market_watts_rating"),
         F.when(F.col("p_size") > 25, "true").otherwise("false").alias("real_spec"),
@@ -157,7 +161,7 @@ def lights_of(t: Tables, latest: bool):
     return street_lights(
         lights, geometry_versions(t, "equipment_key", "LI"), specs, links, hub,
         billing_sites={"Brand#1": "S1", "Brand#2": "S2", "Brand#3": "S3"}, default_site="S9",
-        cost_share={"Brand#1": ("S9", 40)}, latest_location=latest,
+        cost_share={"Brand#1": ("S9", 40)}, now_utc=datetime(2024, 2, 1, 9), latest_location=latest,
     )
 
 
@@ -172,7 +176,9 @@ def lights_of(t: Tables, latest: bool):
     + """ SELECT CASE p_brand WHEN 'Brand#1' THEN 'S1' WHEN 'Brand#2' THEN 'S2' WHEN 'Brand#3' THEN 'S3' ELSE 'S9' END AS site, light_id,
           CASE p_brand WHEN 'Brand#1' THEN 'S9' END AS cost_share_site, CASE p_brand WHEN 'Brand#1' THEN 40 END AS cost_share_percent,
           p_brand AS manufacturer, p_type AS model, p_name AS lamp_type, p_size::DECIMAL(12,1) AS watts_rating,
-          p_retailprice::DECIMAL(12,1) AS market_watts_rating, CASE WHEN p_size > 25 THEN 'Standard' ELSE 'Non-Standard' END AS real_spec,
+          p_retailprice::DECIMAL(12,1) AS market_watts_rating, 'T' || (p_size % 4) AS fitting, 'G' || (light_id % 5) AS control_gear,
+          CASE WHEN light_id % 2 = 0 THEN '2015-06-30' END AS lamp_changed, '2016-01-01' AS billing_from,
+          '2024-02-01 19:00:00' AS row_insert_dtm, CASE WHEN p_size > 25 THEN 'Standard' ELSE 'Non-Standard' END AS real_spec,
           '2010-01-01' AS connection_date, round(degrees(lat6), 6) AS latitude, round(degrees(theta / n) + 145, 6) AS longitude,
           c_mktsegment AS owner_name, CASE WHEN c_acctbal < 0 THEN 'OFF' ELSE 'ON' END AS billing_status, 'In service' AS lc_status FROM f6""",
 )

@@ -57,14 +57,18 @@ def fold_category(col: Column | str, groups: Mapping[str, Iterable[str]]) -> Col
     return chain
 
 
+def insert_time(now_utc: datetime, offset_hours: int = 10) -> Column:
+    """The local time of a run, as feeds carry it; the clock is an argument."""
+    return F.lit((now_utc + timedelta(hours=offset_hours)).strftime("%Y-%m-%d %H:%M:%S"))
+
+
 def stamp(df: DataFrame, run_dt: date | str, source: str, now_utc: datetime, offset_hours: int = 10) -> DataFrame:
     """Lineage columns; the clock is an argument, so a rerun gives the same rows."""
-    local = now_utc + timedelta(hours=offset_hours)
     return df.withColumns(
         {
             "record_source": F.lit(source),
             "run_date": F.lit(as_date(run_dt)),
-            "row_insert_dtm": F.lit(local.strftime("%Y-%m-%d %H:%M:%S")),
+            "row_insert_dtm": insert_time(now_utc, offset_hours),
         }
     )
 

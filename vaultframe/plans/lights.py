@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultframe.functions.columns import decode
+from vaultframe.functions.columns import decode, insert_time
 from vaultframe.functions.geometry import lcc_inverse, wkt_xy
 from vaultframe.operators.joins import resolve
 from vaultframe.operators.versions import first_rank, newest
@@ -23,9 +24,10 @@ def street_lights(
     billing_sites: Mapping[str, str],
     default_site: str,
     cost_share: Mapping[str, tuple[str, int]],
+    now_utc: datetime,
     latest_location: bool = True,
 ) -> DataFrame:
-    """Lights with specification, billing site decoded from the maker, and location.
+    """Lights with specification, billing site decoded from the maker, location, and the time of the run.
 
     ``latest_location=False`` keeps every stored location, so a moved light shows
     up several times; that form feeds the duplicate check.
@@ -48,11 +50,16 @@ def street_lights(
         "lamp_type",
         F.col("watts_rating").cast("decimal(12,1)").alias("watts_rating"),
         F.col("market_watts_rating").cast("decimal(12,1)").alias("market_watts_rating"),
+        "fitting",
+        "control_gear",
         decode("real_spec", {"true": "Standard"}, "Non-Standard").alias("real_spec"),
         "connection_date",
+        "lamp_changed",
+        "billing_from",
         lat.cast("decimal(21,15)").alias("latitude"),
         lon.cast("decimal(21,15)").alias("longitude"),
         "owner_name",
         "billing_status",
         F.col("status").alias("lc_status"),
+        insert_time(now_utc).alias("row_insert_dtm"),
     )
