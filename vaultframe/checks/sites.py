@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from vaultframe.adapters import LSAT_TIES, RUN_ORDERS, Tables
@@ -267,7 +269,7 @@ SLICE_SQL = {
     "acc": newest_ov(BEFORE_RUN),
     "nm0": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cust, extract_ts::DATE ORDER BY extract_ts DESC, seq DESC) AS rn FROM ov
         WHERE pri = '1-URGENT' AND {BEFORE_RUN}) WHERE rn = 1 AND change_type <> 'D'""",
-    "nm": """SELECT cust AS site, 'N' || seq AS name_org1, st AS name_org2, '2' AS partner_type, extract_ts::DATE AS n_from,
+    "nm": """SELECT cust AS site, 'N' || seq AS name_org1, st AS name_org2, 'P' || (seq % 3) AS name_org3, CASE WHEN seq % 2 = 0 THEN 'Q' END AS name_org4, '2' AS partner_type, extract_ts::DATE AS n_from,
         coalesce(lead(extract_ts::DATE) OVER (PARTITION BY cust ORDER BY extract_ts, seq), DATE '9999-12-31') AS n_to FROM nm0
         WHERE cust IN (SELECT cust FROM acc) AND cust IN (SELECT site FROM spine)""",
     "ad": f"""SELECT cust AS site, extract_ts AS address_eff, extract_ts::DATE AS a_from,
@@ -275,12 +277,12 @@ SLICE_SQL = {
         SELECT *, row_number() OVER (PARTITION BY cust, CASE WHEN st = 'O' THEN '99991231' ELSE strftime(extract_ts + to_days(300), '%Y%m%d') END
             ORDER BY extract_ts DESC, seq DESC) AS rn FROM ov WHERE pri = '2-HIGH' AND price > 50000 AND {BEFORE_RUN})
         WHERE rn = 1 AND change_type <> 'D' AND cust IN (SELECT site FROM nm)""",
-    "ph": f"""SELECT cust AS site, 'T' || seq AS tel_number1, tel2 AS tel_number2, 'C' || seq AS cons_number, extract_ts::DATE AS t_from,
+    "ph": f"""SELECT cust AS site, 'T' || seq AS tel_number1, tel2 AS tel_number2, 'C' || seq AS cons_number, 'U' || cust AS person_number, ab AS tel_date_from, extract_ts::DATE AS t_from,
         coalesce(lead(extract_ts::DATE) OVER (PARTITION BY cust ORDER BY extract_ts, seq), DATE '9999-12-31') AS t_to FROM (
         SELECT *, lead('T' || seq) OVER w AS tel2 FROM ov WHERE pri = '3-MEDIUM' AND {BEFORE_RUN}
         WINDOW w AS (PARTITION BY cust ORDER BY CASE WHEN price > 250000 THEN 'X' ELSE ' ' END DESC, 'C' || seq DESC, seq DESC))
         WHERE change_type <> 'D' AND cust IN (SELECT site FROM ad)""",
-    "first_ph": f"""SELECT cust AS site, 'T' || seq AS tel_number1, tel2 AS tel_number2, 'C' || seq AS cons_number, extract_ts::DATE AS t_from,
+    "first_ph": f"""SELECT cust AS site, 'T' || seq AS tel_number1, tel2 AS tel_number2, 'C' || seq AS cons_number, 'U' || cust AS person_number, ab AS tel_date_from, extract_ts::DATE AS t_from,
         DATE '9999-12-31' AS t_to FROM (
         SELECT *, lead('T' || seq) OVER w AS tel2, row_number() OVER w AS rn FROM ov WHERE pri = '3-MEDIUM' AND {BEFORE_RUN}
         WINDOW w AS (PARTITION BY cust ORDER BY CASE WHEN price > 250000 THEN 'X' ELSE ' ' END DESC, 'C' || seq DESC, seq DESC))
@@ -292,7 +294,7 @@ SLICE_SQL = {
     "kept": "SELECT * FROM cuts WHERE date_diff('day', from_dt, to_dt) > 1",
     "sl": """SELECT site, from_dt, CASE WHEN lead(from_dt) OVER (PARTITION BY site ORDER BY from_dt) = to_dt
         THEN to_dt - 1 ELSE to_dt END AS to_dt FROM kept""",
-    "joined": """SELECT DISTINCT sl.site AS site_id, sl.from_dt, sl.to_dt, name_org1, name_org2, partner_type, n_from, tel_number1, tel_number2,
+    "joined": """SELECT DISTINCT sl.site AS site_id, sl.from_dt, sl.to_dt, name_org1, name_org2, name_org3, name_org4, partner_type, n_from, tel_number1, tel_number2, person_number, tel_date_from,
         cons_number, t_from, service_id, contract, contract_eff, c_from, c_to,
         CASE WHEN nm.site IS NULL THEN NULL ELSE sha1('B' || nm.site || ':') END AS partner_key,
         CASE WHEN ad.site IS NULL THEN NULL ELSE sha1('R' || ad.site || ':') END AS address_key,
@@ -306,8 +308,8 @@ SLICE_SQL = {
 
 
 def slice_sql(start: str) -> str:
-    return f"""SELECT DISTINCT site_id, {start} AS start_dt, to_dt AS end_dt, name_org1, name_org2, partner_type, n_from AS name_eff_day,
-        tel_number1, tel_number2, cons_number, t_from AS tel_eff_day, service_id, contract, contract_eff, c_from AS service_start,
+    return f"""SELECT DISTINCT site_id, {start} AS start_dt, to_dt AS end_dt, name_org1, name_org2, name_org3, name_org4, partner_type, n_from AS name_eff_day,
+        tel_number1, tel_number2, person_number, tel_date_from, cons_number, t_from AS tel_eff_day, '2024-02-01 19:00:00' AS row_insert_dtm, service_id, contract, contract_eff, c_from AS service_start,
         c_to AS service_end, partner_key, address_key, adr_kind, a_from AS address_valid_from, a_to AS address_valid_to, address_eff
         FROM (SELECT *, rank() OVER (PARTITION BY site_id, from_dt ORDER BY n_from DESC NULLS LAST, address_eff DESC NULLS LAST) AS rno FROM joined)
         WHERE rno = 1 AND contract IS NOT NULL"""
@@ -337,6 +339,8 @@ def slices_of(t: Tables, **options):
         partner_key=key("B", "cust"),
         name_org1=F.concat(F.lit("N"), F.col("seq").cast("string")),
         name_org2=F.col("st"),
+        name_org3=F.concat(F.lit("P"), (F.col("seq") % 3).cast("string")),
+        name_org4=F.when(F.col("seq") % 2 == 0, "Q"),
         partner_type=F.lit("2"),
     )
     addresses = v.versions(
@@ -353,10 +357,20 @@ def slices_of(t: Tables, **options):
         tel_number=F.concat(F.lit("T"), F.col("seq").cast("string")),
         flag_default=F.when(F.col("price") > 250000, "X").otherwise(" "),
         cons_number=F.concat(F.lit("C"), F.col("seq").cast("string")),
+        person_number=F.concat(F.lit("U"), F.col("cust").cast("string")),
+        date_from=F.col("ab"),
+    )
+    # the same links in another role lead to another site, and must not be followed
+    other_role = t.customer.filter("c_custkey % 5 = 0").withColumn("next", F.col("c_custkey") + 1).select(
+        key("T", "c_custkey").alias("salnk_key"),
+        key("E", "next").alias("key1"),
+        key("I", "c_custkey").alias("key2"),
+        F.lit("OLD_UI").alias("role1"),
+        F.lit("INT_UI").alias("role2"),
     )
     return customer_slices(
-        v.ids, services, v.installs, accounts, partners, names, addresses, phones, v.site_links, v.hub_site,
-        run_dt=RUN_ORDERS, **options,
+        v.ids, services, v.installs, accounts, partners, names, addresses, phones, v.site_links.unionByName(other_role), v.hub_site,
+        run_dt=RUN_ORDERS, now_utc=datetime(2024, 2, 1, 9), **options,
     )
 
 

@@ -67,15 +67,16 @@ class Vault:
     @cached_property
     def site_links(self) -> DataFrame:
         """External-internal id, installation-internal id, installation-premise."""
-        kinds = [("T", "E", "I", "EXT_UI"), ("N", "A", "I", "INST"), ("V", "A", "V", "INST")]
+        kinds = [("T", "E", "I", "EXT_UI", "INT_UI"), ("N", "A", "I", "INST", "INT_UI"), ("V", "A", "V", "INST", "PREM")]
         parts = [
             self.t.customer.select(
                 key(link, "c_custkey").alias("salnk_key"),
                 key(first, "c_custkey").alias("key1"),
                 key(second, "c_custkey").alias("key2"),
-                F.lit(role).alias("role1"),
+                F.lit(role1).alias("role1"),
+                F.lit(role2).alias("role2"),
             )
-            for link, first, second, role in kinds
+            for link, first, second, role1, role2 in kinds
         ]
         return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

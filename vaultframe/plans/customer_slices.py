@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultframe.functions.columns import not_blank
+from vaultframe.functions.columns import insert_time, not_blank
 from vaultframe.functions.dates import as_of, floor_date, open_end, parse_day
 from vaultframe.operators import windows
 from vaultframe.operators.joins import overlap_join, resolve
@@ -29,10 +29,13 @@ def _days(df: DataFrame, start: str, end: str, out: tuple[str, str]) -> DataFram
     return df.withColumns({out[0]: parse_day(F.substring(start, 1, 8)), out[1]: parse_day(F.substring(end, 1, 8))})
 
 
-def site_periods(ids: DataFrame, site_links: DataFrame, hub_site: DataFrame, run_dt: date | str) -> DataFrame:
-    """External id periods of every site: the spine."""
+def site_periods(
+    ids: DataFrame, site_links: DataFrame, hub_site: DataFrame, run_dt: date | str, roles: tuple[str, str]
+) -> DataFrame:
+    """External id periods of every site: the spine. Only links between the two ``roles`` count."""
     rows = current(ids, ["salnk_key", "date_from", "time_from"], run_dt, pre=not_blank("checksum"))
-    rows = rows.join(site_links, "salnk_key").withColumnsRenamed({"key1": "site_key", "key2": "internal_key"})
+    in_role = (F.col("role1") == roles[0]) & (F.col("role2") == roles[1])
+    rows = rows.join(site_links.filter(in_role), "salnk_key").withColumnsRenamed({"key1": "site_key", "key2": "internal_key"})
     rows = resolve(rows, hub_site, "site_key", "site_key", {"site_id": "site_id"})
     return _days(rows, "date_from", "date_to", ("id_from", "id_to")).select(
         "site_id", "internal_key", "id_from", "id_to"
@@ -77,6 +80,8 @@ def partner_names(names: DataFrame, run_dt: date | str) -> DataFrame:
         "partner_key",
         "name_org1",
         "name_org2",
+        "name_org3",
+        "name_org4",
         "partner_type",
         F.col("valid_from").alias("name_from"),
         F.col("valid_to").alias("name_to"),
@@ -108,6 +113,8 @@ def phone_history(phones: DataFrame, run_dt: date | str) -> DataFrame:
         "address_key",
         F.col("tel_number").alias("tel_number1"),
         "tel_number2",
+        "person_number",
+        F.col("date_from").alias("tel_date_from"),
         "cons_number",
         "tel_from",
         F.coalesce("tel_to", open_end()).alias("tel_to"),
@@ -124,6 +131,8 @@ def address_phones(phones: DataFrame, run_dt: date | str) -> DataFrame:
         "address_key",
         "tel_number1",
         "tel_number2",
+        "person_number",
+        F.col("date_from").alias("tel_date_from"),
         "cons_number",
         F.col("extract_ts").cast("date").alias("tel_from"),
         open_end().alias("tel_to"),
@@ -143,6 +152,8 @@ def customer_slices(
     hub_site: DataFrame,
     *,
     run_dt: date | str,
+    now_utc: datetime,
+    roles: tuple[str, str] = ("EXT_UI", "INT_UI"),
     service: str = "FRMP",
     address_kind: str = "XXDEFAULT",
     min_end: date | str | None = None,
@@ -159,7 +170,7 @@ def customer_slices(
     phone of that address) are then joined on the slice and the key they hang on.
     """
     numbered = {"history": phone_history, "first": address_phones}[phone_rule]
-    spine = stage(site_periods(ids, site_links, hub_site, run_dt), "spine")
+    spine = stage(site_periods(ids, site_links, hub_site, run_dt, roles), "spine")
     contracts = stage(service_contracts(services, spine, run_dt, service), "contracts")
     site_partner = site_partners(installs, accounts, partners, site_links, spine, run_dt)
     name = stage(site_partner.join(partner_names(names, run_dt), "partner_key"), "names")
@@ -199,10 +210,14 @@ def customer_slices(
         F.col("to_dt").alias("end_dt"),
         "name_org1",
         "name_org2",
+        "name_org3",
+        "name_org4",
         "partner_type",
         F.col("name_from").alias("name_eff_day"),
         "tel_number1",
         "tel_number2",
+        "person_number",
+        "tel_date_from",
         "cons_number",
         F.col("tel_from").alias("tel_eff_day"),
         "service_id",
@@ -216,4 +231,5 @@ def customer_slices(
         F.col("address_from").alias("address_valid_from"),
         F.col("address_to").alias("address_valid_to"),
         "address_eff",
+        insert_time(now_utc).alias("row_insert_dtm"),
     ).distinct()
