@@ -23,31 +23,50 @@ MIXTURE = mixing.Target(max_repeats=2.0)
 
 
 def name_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language is recognised; learns from their own labels."""
+    """Keeps the documents whose language is recognised; learns from their own labels.
+
+    Null texts, texts without a letter and unsure ones go. Without a label nothing is learned and nothing kept; repeated rows and
+    ties are judged row by row; other columns, whatever their names, are carried along; no rows give none.
+    """
     ready(spark)
     return language.keep_named(docs, language.learn(docs))
 
 
 def check_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that pass every quality rule."""
+    """Keeps the documents that pass every quality rule.
+
+    Null and empty texts have no words and go. Whole texts are judged, row by row, so repeated rows share their fate; other columns,
+    whatever their names, are carried along; no rows give none.
+    """
     ready(spark)
     return quality.keep_good(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of exact and near copies."""
+    """Keeps one document of each group of exact and near copies, that of the smallest id.
+
+    Texts without words are near no other and all stay. Of repeated rows one stays; of one id with different texts
+    in a group, the first by a hash of the text. Other columns are carried along; no rows give none.
+    """
     ready(spark)
     return jaccard.keep_one(docs, NEAR_COPIES)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once, and those of rare sources again as far as the mixture asks: a row for each use."""
+    """Every document once, and those of rare sources again as far as the mixture asks: a row for each use.
+
+    A null source is a source of its own. Texts without words cost nothing and are used once. Repeated rows are used together or not
+    at all. Other columns are carried along; no rows give none.
+    """
     ready(spark)
     return mixing.mixed(docs, MIXTURE).select("row.*")
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` for each use of a document."""
+    """``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` for each use of a document.
+
+    Null and empty texts have no tokens. Whole texts are encoded; other columns are dropped; no rows give none.
+    """
     ready(spark)
     return bpe.encode_digests(docs, tokenizer_file())
 
