@@ -132,6 +132,50 @@ def test_neighbours_recall_and_scores(spark):
     assert all(sorted(k for k, _ in got) == [1, 2, 3, 4, 5] for got in mine.values())
 
 
+def hits(table, **settings):
+    mine = {}
+    for r in neighbours.nearest(table, **settings).collect():
+        mine.setdefault(r["query_id"], []).append(r["vec_id"])
+    want = dict(neighbours.exact(table))
+    assert mine.keys() == want.keys() and all(len(v) == 5 for v in mine.values())
+    return sum(len({*mine[q]} & {*w}) for q, w in want.items()) / sum(map(len, want.values()))
+
+
+def test_neighbours_recall_where_little_is_searched(spark):
+    """20,000 vectors around 2,000 centres, in small buckets, leaves split by hash and queries in slices."""
+    few = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    many = few.crossJoin(spark.range(10).withColumnRenamed("id", "copy"))
+    moved = F.transform("embedding", lambda x: x + 0.05 * (F.pmod(F.xxhash64("vec_id", "copy", x), F.lit(1000)) / 1000 - 0.5))
+    table = many.select((F.col("vec_id") * 10 + F.col("copy")).alias("vec_id"), moved.alias("embedding"))
+    points = np.array([r["embedding"] for r in table.select("embedding").collect()])
+    forest = neighbours.grow(points)
+    sizes = np.bincount(neighbours.leaves_of(forest, points).ravel(), minlength=forest.ends[-1])
+    reach = neighbours.measured_reach(neighbours._classes(neighbours.usable(table, "embedding"), 50, 5), forest, 5)
+    searched = [sizes[neighbours.leaves_for(forest, sizes, q, reach, 6)].sum() for q in neighbours.unit(points[:200])]
+    assert np.mean(searched) < 0.1 * len(points)
+    assert hits(table) >= 0.9
+    assert hits(table, chunk=20, asks=2) >= 0.9
+
+
+def test_reach_is_where_the_queue_meets_a_vector():
+    points = neighbours.unit(np.random.default_rng(1).standard_normal((3000, 12)))
+    forest = neighbours.grow(points, trees=3)
+    leaves = neighbours.leaves_of(forest, points)
+    sizes = np.bincount(leaves.ravel(), minlength=forest.ends[-1])
+    assert sizes.sum() == 3 * len(points) and all(part.sum() == len(points) for part in np.split(sizes, forest.ends[:-1]))
+    for query, vector in zip(range(0, 40), range(100, 140), strict=True):
+        need = neighbours.reach_of(forest, points[[query]], points[[vector]])[0]
+        there = set(neighbours.leaves_for(forest, sizes, points[query], need * (1 + 1e-9), 1))
+        before = set(neighbours.leaves_for(forest, sizes, points[query], need * (1 - 1e-9) - 1e-12, 0))
+        assert there & {*leaves[vector]} and not before & {*leaves[vector]}
+
+
+def test_buckets_hold_leaves_of_one_tree_and_no_more_than_a_chunk():
+    sizes, ends = np.array([3, 4, 25, 1, 2, 9, 0, 5, 6]), np.array([4, 9])
+    first, parts = neighbours.buckets_of(sizes, ends, 10)
+    assert first.tolist() == [0, 0, 1, 4, 5, 6, 6, 7, 8] and parts.tolist() == [1, 1, 3, 1, 1, 1, 1, 1, 1]
+
+
 def test_neighbours_of_awkward_vectors(spark):
     nan = float("nan")
     odd = [(1, None), (2, [0.0, 0.0]), (3, [nan, 1.0]), (4, [None, 1.0]), (50, [float("inf"), 1.0])]
