@@ -4,6 +4,9 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from vaultframe.adapters import Tables
+from vaultframe.checks.meters import timeline_of
+from vaultframe.checks.standins import AmendedVault, Vault
 from vaultframe.plans import comms_fault, components, events, suffix
 from vaultframe.plans.life_support import life_support
 from vaultframe.plans.service_points import point_devices
@@ -128,3 +131,19 @@ def test_blank_typed_components_still_serve_as_parents(spark, rows):
 def test_month_window_is_a_local_month_widened_by_a_day():
     assert events.month_window("2024-07-15") == (datetime(2024, 6, 29, 14), datetime(2024, 8, 1, 14))
     assert events.month_window("2024-01-01") == (datetime(2023, 12, 30, 13), datetime(2024, 2, 1, 13))
+
+
+def test_timeline_of_amended_versions_depends_on_each_choice_of_version(spark):
+    """Taking the first version of one satellite, or each key's newest holding only, changes rows."""
+    t = Tables(spark, "/root/testdata/sf0.001")
+
+    def rows(**first):
+        v = AmendedVault(t)
+        for name in first:
+            setattr(v, name, getattr(Vault(t), name))
+        return {tuple(r) for r in timeline_of(v).collect()}
+
+    every = rows()
+    for name in ("holdings", "fitted", "fitted_groups"):
+        assert rows(**{name: True}) != every
+    assert {tuple(r) for r in timeline_of(AmendedVault(t), holding_versions="newest").collect()} != every

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from vaultframe.adapters import COMMS_BY_PRIORITY, RUN_EVENTS, Tables
 from vaultframe.checks.registry import ROLES, check, with_roles
 from vaultframe.checks.sites import NOT_BLANK, TIES, newest_ov
-from vaultframe.checks.standins import OV_SQL, Vault, key, later
+from vaultframe.checks.standins import AMENDED_SQL, OV_SQL, AmendedVault, Vault, key, later
 from vaultframe.functions.columns import decode
 from vaultframe.functions.dates import OPEN_END_TEXT, day_text
 from vaultframe.plans import comms_fault as cf
@@ -264,27 +264,12 @@ TIMELINE_SQL = {
 }
 
 
-@check(
-    "p_meter_timeline",
-    with_roles(
-        """SELECT * EXCLUDE (rno) FROM (SELECT *, row_number() OVER (PARTITION BY site_id, meter_num, from_dt
-             ORDER BY to_dt DESC NULLS LAST, installation_typ NULLS LAST, read_typ_cd NULLS LAST) AS rno FROM every) WHERE rno = 1""",
-        **TIMELINE_SQL,
-    ),
-)
-def p_meter_timeline(t: Tables):
-    v = Vault(t)
-    equipment = v.versions(
-        eq_link_key=key("Z", "seq"), meter_key=key("Z", "seq"), device_id=F.concat(F.lit("D"), F.col("seq").cast("string"))
-    )
-    groups = v.versions(
-        group_key=key("Z", "seq"),
-        kombinat=F.when(F.col("price") > 50000, "Z").otherwise("W"),
-        ab=F.col("ab"),
-        bis=F.lit(OPEN_END_TEXT),
-        meter_key=key("Z", "seq"),
-        logical_key=key("Q", "seq"),
-    )
+TIMELINE_BODY = """SELECT * EXCLUDE (rno) FROM (SELECT *, row_number() OVER (PARTITION BY site_id, meter_num, from_dt
+    ORDER BY to_dt DESC NULLS LAST, installation_typ NULLS LAST, read_typ_cd NULLS LAST) AS rno FROM every) WHERE rno = 1"""
+
+
+def timeline_of(v: Vault, **settings):
+    t = v.t
     attributes = t.lsat.select(
         key("Z", "l_orderkey").alias("meter_key"),
         decode("l_returnflag", {"A": "READ"}, "TYP").alias("fname"),
@@ -297,11 +282,50 @@ def p_meter_timeline(t: Tables):
     )
     others = v.device_groups.withColumnRenamed("kombinat", "category")
     return meter_timeline(
-        equipment, attributes, groups, others, v.holdings, v.installs.withColumn("time_from", F.lit("000000")), v.ids,
-        v.site_links, v.equipment_links, v.hub_site, run_dt=RUN_ALL, read_type="READ", install_type="TYP",
+        v.fitted, attributes, v.fitted_groups, others, v.holdings, v.installs.withColumn("time_from", F.lit("000000")), v.ids,
+        v.site_links, v.equipment_links, v.hub_site, run_dt=RUN_ALL, read_type="READ", install_type="TYP", **settings,
     )
 
 
+@check("p_meter_timeline", with_roles(TIMELINE_BODY, **TIMELINE_SQL))
+def p_meter_timeline(t: Tables):
+    return timeline_of(Vault(t))
+
+
+def amended_sql(holding_versions: str) -> dict[str, str]:
+    """The timeline's SQL over several versions of holdings, equipment and groups."""
+    held = """SELECT *, CASE WHEN version = 2 THEN strftime(strptime(ab, '%Y%m%d') + to_days(900), '%Y%m%d')
+        WHEN st = 'F' THEN strftime(strptime(ab, '%Y%m%d') + to_days(2000), '%Y%m%d') ELSE '99991231' END AS bis,
+        row_number() OVER (PARTITION BY seq, ab ORDER BY extract_ts DESC) AS rn FROM amended"""
+    grouped = """SELECT *, row_number() OVER (PARTITION BY seq, ab ORDER BY extract_ts DESC) AS rn FROM amended
+        WHERE price > 50000 AND NOT (version = 2 AND pri = '1-URGENT')"""
+    parts = {
+        **{name: TIMELINE_SQL[name] for name in ("lsat", "ov", "i", "n")},
+        "amended": AMENDED_SQL,
+        "h": f"SELECT * FROM ({held}) WHERE change_type <> 'D'" + (" AND rn = 1" if holding_versions == "newest" else ""),
+        "g": f"SELECT * FROM ({grouped}) WHERE rn = 1 AND change_type <> 'D'",
+        "fitted": """SELECT seq, CASE version WHEN 2 THEN 'E' ELSE 'D' END || seq AS meter_num FROM (
+            SELECT *, row_number() OVER (PARTITION BY seq ORDER BY extract_ts DESC) AS rn FROM amended) WHERE rn = 1 AND change_type <> 'D'""",
+        "spans": """SELECT h.seq AS meter, i.cust AS site, min(h.ab) AS install, max(h.bis) AS removal FROM i JOIN n ON i.cust = n.cust
+            JOIN h ON h.cust = i.cust JOIN (SELECT DISTINCT seq FROM g) g ON g.seq = h.seq GROUP BY ALL""",
+        "attr": TIMELINE_SQL["attr"],
+        "joined": TIMELINE_SQL["joined"].replace("'D' || s.meter AS meter_num", "e.meter_num").replace("FROM spans s", "FROM spans s JOIN fitted e ON e.seq = s.meter"),
+    }
+    return parts | {name: TIMELINE_SQL[name] for name in ("kept", "lagged", "tl", "every")}
+
+
+@check("p_meter_timeline_amended", with_roles(TIMELINE_BODY, **amended_sql("all")))
+def p_meter_timeline_amended(t: Tables):
+    """Several versions of holdings, equipment and groups: every live holding reaches into its span."""
+    return timeline_of(AmendedVault(t))
+
+
+@check("p_meter_timeline_newest", with_roles(TIMELINE_BODY, **amended_sql("newest")))
+def p_meter_timeline_newest(t: Tables):
+    """The same versions, with the newest holding of each link and start only."""
+    return timeline_of(AmendedVault(t), holding_versions="newest")
+
+
 # --- meter channels ---------------------------------------------------------
 
 CLOSED = "CASE WHEN {0} = DATE '9999-12-31' THEN {0} ELSE {0} - 1 END"

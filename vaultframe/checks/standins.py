@@ -171,3 +171,64 @@ class Vault:
             F.col("s_suppkey").alias("seq"),
             F.lit("U").alias("change_type"),
         )
+
+    # --- meters of the timeline ---------------------------------------------
+
+    @cached_property
+    def fitted(self) -> DataFrame:
+        return self.versions(
+            eq_link_key=key("Z", "seq"), meter_key=key("Z", "seq"), device_id=F.concat(F.lit("D"), F.col("seq").cast("string"))
+        )
+
+    @cached_property
+    def fitted_groups(self) -> DataFrame:
+        return self.versions(
+            group_key=key("Z", "seq"),
+            kombinat=F.when(F.col("price") > 50000, "Z").otherwise("W"),
+            ab=F.col("ab"),
+            bis=F.lit(OPEN_END_TEXT),
+            meter_key=key("Z", "seq"),
+            logical_key=key("Q", "seq"),
+        )
+
+
+# The later versions of :class:`AmendedVault` as SQL: which orders have one and what it says.
+AMENDED_SQL = """SELECT seq, cust, st, pri, price, ab, extract_ts, change_type, 1 AS version FROM ov
+    UNION ALL SELECT seq, cust, st, pri, price, ab, extract_ts + to_days(40), CASE WHEN pri = '2-HIGH' THEN 'D' ELSE 'U' END, 2 FROM ov WHERE price > 90000"""
+
+
+class AmendedVault(Vault):
+    """Holdings, equipment and groups with several versions of a key.
+
+    The dearer orders get a second version forty days later, which changes the
+    payload or is a tombstone, and every key gets a tombstone after the run, which
+    a query as of the run must not see.
+    """
+
+    AFTER_RUN = "2003-05-01"
+
+    def _amend(self, first: DataFrame, **changes: Column) -> DataFrame:
+        orders = self.ov.filter("price > 90000").select("seq", "pri")
+        second = first.join(orders, "seq").withColumns(
+            {
+                "extract_ts": F.col("extract_ts") + F.expr("INTERVAL 40 DAYS"),
+                "change_type": decode("pri", {"2-HIGH": "D"}, "U"),
+                **changes,
+            }
+        )
+        kind = first.schema["extract_ts"].dataType
+        gone = first.withColumns({"extract_ts": F.lit(self.AFTER_RUN).cast(kind), "change_type": F.lit("D")})
+        return first.unionByName(second.drop("pri")).unionByName(gone)
+
+    @cached_property
+    def holdings(self) -> DataFrame:
+        shorter = day_text(F.date_add(F.to_date("ab", "yyyyMMdd"), 900))
+        return self._amend(super().holdings, bis=shorter)
+
+    @cached_property
+    def fitted(self) -> DataFrame:
+        return self._amend(super().fitted, device_id=F.concat(F.lit("E"), F.col("seq").cast("string")))
+
+    @cached_property
+    def fitted_groups(self) -> DataFrame:
+        return self._amend(super().fitted_groups, kombinat=F.when(F.col("pri") == "1-URGENT", "W").otherwise(F.col("kombinat")))

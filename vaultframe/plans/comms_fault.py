@@ -83,7 +83,7 @@ def comms_cards(
     retired = retired.filter(not_deleted() & (F.col("inact") != "X") & F.col("stat").isin(*RETIRED))
     in_use = drop_matching(current(equipment, ["eq_link_key"], run_dt), retired.select("order_no").distinct(), ["order_no"])
     in_use = stage(in_use.select("equipment_key", "device_key", "module_type", "created"), "equipment")
-    usable = active.select(F.col("equipment_key").alias("logical_key")).distinct()
+    usable = stage(active.select(F.col("equipment_key").alias("logical_key")).distinct(), "usable")
     linked = current(card_links, ["salnk_key"], run_dt, period=("ab", "bis"), deleted="before")
     linked = linked.select(F.col("key1").alias("logical_key"), F.col("key2").alias("card_logical_key"), "ab", "bis")
 

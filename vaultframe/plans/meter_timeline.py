@@ -90,10 +90,10 @@ def meter_timeline(
     spans = span(spans, ["meter_key", "site_id", "id_from", "id_to"], "ab", "bis")
     spans = spans.withColumnsRenamed({"ab": "install_date", "bis": "removal_date"})
 
-    latest = current(attributes, ["meter_key", "fname", "ab"])
+    # Both attributes are ranked in one pass; the filter is on a ranking key, so it may come first.
+    latest = stage(current(attributes, ["meter_key", "fname", "ab"], pre=F.col("fname").isin(read_type, install_type)), "attributes")
     reads = eav_attribute(latest, ["meter_key"], read_type, "read")
     types = eav_attribute(latest, ["meter_key"], install_type, "typ")
-    reads, types = stage(reads, "reads"), stage(types, "types")
     pairs = paired_attributes(reads, types, ("read", "typ"))
     serials = current(equipment, ["eq_link_key"], run_dt).select("meter_key", F.col("device_id").alias("meter_num"))
     # A meter whose attributes never meet has no row at all; only a meter without
