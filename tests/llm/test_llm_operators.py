@@ -88,6 +88,18 @@ def test_quality_cascade_orders_by_rejection_per_cost(awkward):
     assert {rule.name for rule, _, _ in found} == {rule.name for rule in quality.BASE + quality.OWN}
 
 
+def test_quality_cost_is_that_of_the_rule_and_not_of_the_job(docs):
+    """A rule that does the same work many times costs more, and rejections are shares of the sample, not of its copies."""
+    cheap = quality.Rule("cheap", lambda: F.size("words") < 100)
+    dear = quality.Rule("dear", lambda: (sum((F.length(F.translate("text", c, "")) for c in "abcdefghijklmnop"), F.lit(0)) >= 0) & (F.size("words") < 100))
+    sample = quality.with_words(docs.select("text"))
+    few = sample.where(F.size("words") < 100).count() / sample.count()
+    found = quality.measured(sample, (dear, cheap), copies=40)
+    assert 0 < few < 1
+    assert [rule.name for rule, _, _ in found] == ["cheap", "dear"]
+    assert found[1][1] > 3 * found[0][1] and all(share == few for _, _, share in found)
+
+
 def test_bpe_equals_the_tokenizers_library(awkward, docs, nothing):
     from tokenizers import Tokenizer
 
