@@ -8,6 +8,7 @@ from vaultframe.adapters import Tables
 from vaultframe.checks.meters import timeline_of
 from vaultframe.checks.standins import AmendedVault, Vault
 from vaultframe.plans import comms_fault, components, events, suffix
+from vaultframe.plans.customer_slices import partner_names, site_partners
 from vaultframe.plans.life_support import life_support
 from vaultframe.plans.service_points import point_devices
 
@@ -147,3 +148,42 @@ def test_timeline_of_amended_versions_depends_on_each_choice_of_version(spark):
     for name in ("holdings", "fitted", "fitted_groups"):
         assert rows(**{name: True}) != every
     assert {tuple(r) for r in timeline_of(AmendedVault(t), holding_versions="newest").collect()} != every
+
+
+PARTNER_LINKS = [("L1", "K1", "B"), ("L2", "K2", "B"), ("L3", "K3", "C")]
+LINK_SCHEMA = "link_key STRING, account_key STRING, partner_key STRING"
+
+
+def test_names_are_chained_by_link_and_belong_to_the_partner(spark):
+    org = "name_org1 STRING, name_org2 STRING, name_org3 STRING, name_org4 STRING, partner_type STRING"
+    days = [datetime(2024, 1, d, h) for d, h in ((1, 8), (1, 9), (2, 8), (3, 8), (4, 8))]
+    versions = [("L1", 0, "a", "U"), ("L1", 1, "b", "U"), ("L2", 2, "c", "U"), ("L1", 3, "d", "U"), ("L3", 2, "e", "U"), ("L3", 3, "f", "D"), ("L1", 4, "g", "U")]
+    names = spark.createDataFrame(
+        [(link, days[day], i, change, name, None, None, None, "2") for i, (link, day, name, change) in enumerate(versions)],
+        f"link_key STRING, extract_ts TIMESTAMP_NTZ, seq INT, change_type STRING, {org}",
+    )
+    links = spark.createDataFrame(PARTNER_LINKS, LINK_SCHEMA)
+    found = partner_names(names, links, "2024-01-03").select("partner_key", "name_org1", "name_from", "name_to")
+    far = date(9999, 12, 31)
+    assert sorted(map(tuple, found.collect())) == [
+        ("B", "b", date(2024, 1, 1), date(2024, 1, 3)),
+        ("B", "c", date(2024, 1, 2), far),
+        ("B", "d", date(2024, 1, 3), far),
+        ("C", "e", date(2024, 1, 2), far),
+    ]
+
+
+def test_a_site_reaches_its_partner_by_live_links_only(spark):
+    make = spark.createDataFrame
+    common = "extract_ts TIMESTAMP_NTZ, seq INT, change_type STRING"
+    states = [("L1", T0, 1, "U"), ("L2", T0, 1, "U"), ("L2", T1, 2, "D"), ("L3", T0, 1, "U"), ("L3", T2, 2, "D")]
+    found = site_partners(
+        make([("n", T0, 1, "U")], f"salnk_key STRING, {common}"),
+        make([("A", k, T0, 1, "U") for k in ("K2", "K3")], f"install_key STRING, account_key STRING, {common}"),
+        make(states, f"link_key STRING, {common}"),
+        make([("n", "A", "I")], "salnk_key STRING, key1 STRING, key2 STRING"),
+        make(PARTNER_LINKS, LINK_SCHEMA),
+        make([("s", "I")], "site_id STRING, internal_key STRING"),
+        "2024-01-02",
+    )
+    assert [tuple(r) for r in found.collect()] == [("s", "C")]

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultframe.adapters import LSAT_TIES, RUN_ORDERS, Tables
@@ -267,11 +269,12 @@ SLICE_SQL = {
         SELECT *, row_number() OVER (PARTITION BY site, s_end ORDER BY contract_eff DESC, s_start DESC, seq DESC) AS rn FROM c0)
         WHERE rn = 1 AND site IN (SELECT site FROM spine)""",
     "acc": newest_ov(BEFORE_RUN),
-    "nm0": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cust, extract_ts::DATE ORDER BY extract_ts DESC, seq DESC) AS rn FROM ov
+    "nm0": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cust, link, extract_ts::DATE ORDER BY extract_ts DESC, seq DESC) AS rn
+        FROM (SELECT *, CASE WHEN cust % 2 = 0 AND seq % 4 < 2 THEN 2 ELSE 1 END AS link FROM ov)
         WHERE pri = '1-URGENT' AND {BEFORE_RUN}) WHERE rn = 1 AND change_type <> 'D'""",
-    "nm": """SELECT cust AS site, 'N' || seq AS name_org1, st AS name_org2, 'P' || (seq % 3) AS name_org3, CASE WHEN seq % 2 = 0 THEN 'Q' END AS name_org4, '2' AS partner_type, extract_ts::DATE AS n_from,
-        coalesce(lead(extract_ts::DATE) OVER (PARTITION BY cust ORDER BY extract_ts, seq), DATE '9999-12-31') AS n_to FROM nm0
-        WHERE cust IN (SELECT cust FROM acc) AND cust IN (SELECT site FROM spine)""",
+    "nm": """SELECT DISTINCT cust AS site, 'N' || seq AS name_org1, st AS name_org2, 'P' || (seq % 3) AS name_org3, CASE WHEN seq % 2 = 0 THEN 'Q' END AS name_org4, '2' AS partner_type, extract_ts::DATE AS n_from,
+        coalesce(lead(extract_ts::DATE) OVER (PARTITION BY cust, link ORDER BY extract_ts, seq), DATE '9999-12-31') AS n_to FROM nm0
+        WHERE cust % 7 <> 0 AND cust IN (SELECT cust FROM acc) AND cust IN (SELECT site FROM spine)""",
     "ad": f"""SELECT cust AS site, extract_ts AS address_eff, extract_ts::DATE AS a_from,
         CASE WHEN st = 'O' THEN DATE '9999-12-31' ELSE extract_ts::DATE + 300 END AS a_to FROM (
         SELECT *, row_number() OVER (PARTITION BY cust, CASE WHEN st = 'O' THEN '99991231' ELSE strftime(extract_ts + to_days(300), '%Y%m%d') END
@@ -327,16 +330,35 @@ def slices_of(t: Tables, **options):
         service_end=F.when(F.col("st") == "O", OPEN_END_TEXT).otherwise(later(400)),
     )
     accounts = v.versions(install_key=key("A", "cust"), account_key=key("K", "cust"))
-    partners = t.customer.select(
+    # customers of even number have a second account, which no installation uses; its names count, too
+    first_link = t.customer.select(
+        key("P", "c_custkey").alias("link_key"),
         key("K", "c_custkey").alias("account_key"),
         key("B", "c_custkey").alias("partner_key"),
-        F.lit("1995-01-01").cast("timestamp_ntz").alias("extract_ts"),
-        F.col("c_custkey").alias("seq"),
-        F.lit("U").alias("change_type"),
+    )
+    second_link = t.customer.filter("c_custkey % 2 = 0").select(
+        key("O", "c_custkey").alias("link_key"),
+        key("J", "c_custkey").alias("account_key"),
+        key("B", "c_custkey").alias("partner_key"),
+    )
+    partner_links = first_link.unionByName(second_link)
+    # every seventh link ends before the run, and all of them after it, which must not be seen
+    states = [("1995-01-01", "U", "true"), ("1997-01-01", "D", "c_custkey % 7 = 0"), ("2003-05-01", "D", "true")]
+    partners = reduce(
+        DataFrame.unionByName,
+        [
+            t.customer.filter(which).select(
+                key("P", "c_custkey").alias("link_key"),
+                F.lit(day).cast("timestamp_ntz").alias("extract_ts"),
+                F.col("c_custkey").alias("seq"),
+                F.lit(change).alias("change_type"),
+            )
+            for day, change, which in states
+        ],
     )
     names = v.versions(
         F.col("pri") == "1-URGENT",
-        partner_key=key("B", "cust"),
+        link_key=F.when((F.col("cust") % 2 == 0) & (F.col("seq") % 4 < 2), key("O", "cust")).otherwise(key("P", "cust")),
         name_org1=F.concat(F.lit("N"), F.col("seq").cast("string")),
         name_org2=F.col("st"),
         name_org3=F.concat(F.lit("P"), (F.col("seq") % 3).cast("string")),
@@ -369,7 +391,7 @@ def slices_of(t: Tables, **options):
         F.lit("INT_UI").alias("role2"),
     )
     return customer_slices(
-        v.ids, services, v.installs, accounts, partners, names, addresses, phones, v.site_links.unionByName(other_role), v.hub_site,
+        v.ids, services, v.installs, accounts, partners, names, addresses, phones, v.site_links.unionByName(other_role), partner_links, v.hub_site,
         run_dt=RUN_ORDERS, now_utc=datetime(2024, 2, 1, 9), **options,
     )
 

@@ -55,12 +55,21 @@ def service_contracts(services: DataFrame, spine: DataFrame, run_dt: date | str,
     )
 
 
-def site_partners(installs: DataFrame, accounts: DataFrame, partners: DataFrame, site_links: DataFrame, spine: DataFrame, run_dt: date | str) -> DataFrame:
-    """Undated way from site to business partner: installation, account, partner."""
+def site_partners(
+    installs: DataFrame,
+    accounts: DataFrame,
+    partners: DataFrame,
+    site_links: DataFrame,
+    partner_links: DataFrame,
+    spine: DataFrame,
+    run_dt: date | str,
+) -> DataFrame:
+    """Undated way from site to business partner: installation, account, live link of account and partner."""
     installed = current(installs, ["salnk_key"], run_dt).select("salnk_key").join(site_links, "salnk_key")
     installed = installed.select(F.col("key1").alias("install_key"), F.col("key2").alias("internal_key")).distinct()
     account = current(accounts, ["install_key", "account_key"], run_dt).select("install_key", "account_key").distinct()
-    partner = current(partners, ["account_key", "partner_key"], run_dt).select("account_key", "partner_key").distinct()
+    partner = current(partners, ["link_key"], run_dt).select("link_key").join(partner_links, "link_key")
+    partner = partner.select("account_key", "partner_key").distinct()
     sites = spine.select("site_id", "internal_key").distinct()
     return (
         sites.join(installed, "internal_key")
@@ -71,12 +80,16 @@ def site_partners(installs: DataFrame, accounts: DataFrame, partners: DataFrame,
     )
 
 
-def partner_names(names: DataFrame, run_dt: date | str) -> DataFrame:
-    """Last name of each day, each valid to the next one's day."""
-    daily = current_per_day(as_of(names, run_dt, "extract_ts"), ["partner_key"], "extract_ts", ["seq"])
+def partner_names(names: DataFrame, partner_links: DataFrame, run_dt: date | str) -> DataFrame:
+    """Last name of each link and day, each valid to the day of the link's next one.
+
+    Names hang on the links of accounts and partners. A partner with several accounts has a chain of
+    names for each, and all of them are the partner's, by whichever account a site reaches it.
+    """
+    daily = current_per_day(as_of(names, run_dt, "extract_ts"), ["link_key"], "extract_ts", ["seq"])
     daily = daily.filter(not_deleted())
-    periods = validity_from_versions(daily, ["partner_key"], "extract_ts", ["seq"], daily=True)
-    return periods.select(
+    periods = validity_from_versions(daily, ["link_key"], "extract_ts", ["seq"], daily=True)
+    return periods.join(partner_links.select("link_key", "partner_key"), "link_key").select(
         "partner_key",
         "name_org1",
         "name_org2",
@@ -149,6 +162,7 @@ def customer_slices(
     addresses: DataFrame,
     phones: DataFrame,
     site_links: DataFrame,
+    partner_links: DataFrame,
     hub_site: DataFrame,
     *,
     run_dt: date | str,
@@ -172,8 +186,8 @@ def customer_slices(
     numbered = {"history": phone_history, "first": address_phones}[phone_rule]
     spine = stage(site_periods(ids, site_links, hub_site, run_dt, roles), "spine")
     contracts = stage(service_contracts(services, spine, run_dt, service), "contracts")
-    site_partner = site_partners(installs, accounts, partners, site_links, spine, run_dt)
-    name = stage(site_partner.join(partner_names(names, run_dt), "partner_key"), "names")
+    site_partner = site_partners(installs, accounts, partners, site_links, partner_links, spine, run_dt)
+    name = stage(site_partner.join(partner_names(names, partner_links, run_dt), "partner_key").distinct(), "names")
     named = name.select("site_id", "partner_key").distinct()
     address = stage(named.join(partner_addresses(addresses, run_dt, address_kind), "partner_key"), "addresses")
     addressed = address.select("site_id", "partner_key", "address_key").distinct()
