@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vaultframe.functions.keys import pack, unpack
 from vaultframe.session import stage
 
 
@@ -33,10 +34,18 @@ def sat_link_hub(
 
 
 def same_as_roles(link: DataFrame, hub: DataFrame, hub_key: str, business_key: str, roles: Mapping[str, str]) -> DataFrame:
-    """Business keys of every role column of a same-as link."""
+    """Business keys of every role column of a same-as link.
+
+    The link is shuffled once a role, so its keys travel packed. The hub grows with the link and is never
+    broadcast: what is shuffled grows with the rows at every size.
+    """
+    kinds = {dict(link.dtypes)[role] for role in roles} | {dict(hub.dtypes)[hub_key]}
+    if kinds == {"string"}:
+        link, hub = pack(link, *roles), pack(hub, hub_key)
+    hub = hub.hint("merge")
     for role, out in roles.items():
         link = resolve(link, hub, role, hub_key, {business_key: out})
-    return link
+    return unpack(link, *roles) if kinds == {"string"} else link
 
 
 def drop_matching(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
@@ -101,16 +110,35 @@ LEVELS = 7
 HELD_KEYS = 20_000
 
 
-def crowded_keys(left: DataFrame, right: DataFrame, keys: list[str], few_pairs: int = FEW_PAIRS) -> DataFrame | None:
+def crowded_keys(
+    left: DataFrame, right: DataFrame, keys: list[str], few_pairs: int = FEW_PAIRS, most_rows: int | None = None
+) -> DataFrame | None:
     """Keys whose rows on both sides make more than ``few_pairs`` pairs; ``None`` if there are none.
 
-    One aggregate over both sides, which folds a key to one row a task before its shuffle.
+    With ``most_rows`` also the keys of more rows than that. The first count is by a hash of the key, folded to one
+    row a task and hash before its shuffle: what shares a hash is at least as crowded as its keys, so that only rows of
+    crowded hashes are counted by the keys themselves.
     """
     sides = left.select(*keys, F.lit(1).alias("__l"), F.lit(0).alias("__r")).unionAll(
         right.select(*keys, F.lit(0).alias("__l"), F.lit(1).alias("__r"))
     )
-    many = sides.na.drop(subset=keys).groupBy(*keys).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
-    many = many.filter(F.col("__l") * F.col("__r") > few_pairs).select(*keys)
+    sides = sides.na.drop(subset=keys)
+
+    def crowded(rows: DataFrame, by: list[str]) -> DataFrame:
+        counts = rows.groupBy(*by).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
+        full = F.col("__l") * F.col("__r") > few_pairs
+        if most_rows is not None:
+            full = full | (F.col("__l") + F.col("__r") > most_rows)
+        return counts.filter(full).select(*by)
+
+    hashed = sides.withColumn("__h", F.xxhash64(*keys))
+    suspects = crowded(hashed, ["__h"])
+    held = suspects.limit(HELD_KEYS + 1).collect()
+    if not held:
+        return None
+    if len(held) <= HELD_KEYS:
+        suspects = left.sparkSession.createDataFrame(held, suspects.schema)
+    many = crowded(hashed.join(suspects, "__h", "left_semi"), keys)
     held = many.limit(HELD_KEYS + 1).collect()
     if not held:
         return None
