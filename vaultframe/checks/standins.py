@@ -207,18 +207,21 @@ class AmendedVault(Vault):
 
     AFTER_RUN = "2003-05-01"
 
+    def versions(self, keep: Column | None = None, **columns: Column) -> DataFrame:
+        """Versions that carry what decides whether and how they are amended, so that no join has to find it."""
+        return super().versions(keep, **columns, order_price=F.col("price"), order_pri=F.col("pri"))
+
     def _amend(self, first: DataFrame, **changes: Column) -> DataFrame:
-        orders = self.ov.filter("price > 90000").select("seq", "pri")
-        second = first.join(orders, "seq").withColumns(
+        second = first.filter((F.col("order_price") > 90000) & F.col("seq").isNotNull()).withColumns(
             {
                 "extract_ts": F.col("extract_ts") + F.expr("INTERVAL 40 DAYS"),
-                "change_type": decode("pri", {"2-HIGH": "D"}, "U"),
+                "change_type": decode("order_pri", {"2-HIGH": "D"}, "U"),
                 **changes,
             }
         )
         kind = first.schema["extract_ts"].dataType
         gone = first.withColumns({"extract_ts": F.lit(self.AFTER_RUN).cast(kind), "change_type": F.lit("D")})
-        return first.unionByName(second.drop("pri")).unionByName(gone)
+        return first.unionByName(second).unionByName(gone).drop("order_price", "order_pri")
 
     @cached_property
     def holdings(self) -> DataFrame:
@@ -231,4 +234,4 @@ class AmendedVault(Vault):
 
     @cached_property
     def fitted_groups(self) -> DataFrame:
-        return self._amend(super().fitted_groups, kombinat=F.when(F.col("pri") == "1-URGENT", "W").otherwise(F.col("kombinat")))
+        return self._amend(super().fitted_groups, kombinat=F.when(F.col("order_pri") == "1-URGENT", "W").otherwise(F.col("kombinat")))

@@ -62,8 +62,17 @@ def hot_keys(df: DataFrame, keys: list[str], slice_rows: int | None = None) -> D
 
     A null key is a key like any other.
     """
-    counts = df.groupBy(*[F.col(c).alias(f"__h_{c}") for c in keys]).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.filter(F.col("__n") > (slice_rows or SLICE_ROWS))
+    # A hash of the key is counted first, in a few bytes a row; only rows of hot hashes are counted by the key.
+    many = F.col("__n") > (slice_rows or SLICE_ROWS)
+    hashed = df.select(F.xxhash64(*keys).alias("__x"), *[F.col(c).alias(f"__h_{c}") for c in keys])
+    suspects = hashed.groupBy("__x").agg(F.count(F.lit(1)).alias("__n")).filter(many).select("__x")
+    held = suspects.limit(HELD_KEYS + 1).collect()
+    if not held:
+        return None
+    if len(held) <= HELD_KEYS:
+        suspects = df.sparkSession.createDataFrame(held, suspects.schema)
+    rows = hashed.join(suspects, "__x", "left_semi")
+    hot = rows.groupBy(*[f"__h_{c}" for c in keys]).agg(F.count(F.lit(1)).alias("__n")).filter(many)
     held = hot.limit(HELD_KEYS + 1).collect()
     if not held:
         return None

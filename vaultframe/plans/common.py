@@ -12,6 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 
 from vaultframe.functions.dates import as_of, effective_on
+from vaultframe.functions.keys import pack
 from vaultframe.operators.versions import live, newest
 
 
@@ -19,6 +20,22 @@ def latest_first() -> list[Column]:
     return newest("extract_ts", "seq")
 
 
+def packed_keys(*frames: DataFrame) -> list[DataFrame]:
+    """The frames with their hash keys (``*_key``, ``key1`` to ``key3``) packed, as they travel through a plan's shuffles.
+
+    All frames that meet on a key must pass through here, a key of a type other than text stays as it is.
+    """
+    return [pack(df, *[c for c in df.columns if c.endswith("_key") or c in ("key1", "key2", "key3")]) for df in frames]
+
+
+def distinct_by(df: DataFrame, key: str) -> DataFrame:
+    """Distinct rows, dealt by the key of the join that follows: both share one shuffle.
+
+    For rows that are nearly distinct already; others are folded before their shuffle by a plain ``distinct``.
+    """
+    return df.repartition(key).distinct()
+
+
 def current(
     sat: DataFrame,
     keys: list[str],

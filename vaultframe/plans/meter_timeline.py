@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from vaultframe.functions.columns import blank_to_null, not_blank
 from vaultframe.functions.dates import as_of, open_end, parse_day
-from vaultframe.operators.joins import overlap_join, resolve
+from vaultframe.operators.joins import crowded_keys, overlap_join, resolve
 from vaultframe.operators.timeline import array_timeline, leading_gap, span
 from vaultframe.operators.versions import eav_attribute, first_per_key, newest, not_deleted, oldest
-from vaultframe.plans.common import current
+from vaultframe.operators.windows import SLICE_ROWS
+from vaultframe.plans.common import current, distinct_by, packed_keys
 from vaultframe.session import stage
 
 # Start given to a period whose start is missing, so that it can be compared.
@@ -44,6 +45,42 @@ def paired_attributes(first: DataFrame, second: DataFrame, names: tuple[str, str
     return pairs.unionByName(only_first, allowMissingColumns=True).unionByName(only_second, allowMissingColumns=True)
 
 
+def with_attributes(meters: DataFrame, attributes: DataFrame, first: str, second: str, names: tuple[str, str]) -> DataFrame:
+    """Meters with the newest periods of two attributes that meet; a meter without any attribute is kept bare.
+
+    ``first`` and ``second`` name the attributes in ``attributes``, ``names`` their columns. A meter with one of them
+    keeps its periods with the other null; one whose attributes never meet has no row at all. The versions of meters
+    with few of them are dealt by the meter alone, so that ranking and both joins need no further shuffle; meters with many
+    are ranked by their whole key, and their periods are paired by the overlap join.
+    """
+    a, b = names
+    keys = ["meter_key", "fname", "ab"]
+    attributes = attributes.filter(F.col("fname").isin(first, second) & F.col("meter_key").isNotNull())
+
+    def both(latest: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return eav_attribute(latest, ["meter_key"], first, a), eav_attribute(latest, ["meter_key"], second, b)
+
+    def plainly(rows: DataFrame, versions: DataFrame) -> DataFrame:
+        left, right = both(current(versions.repartition("meter_key"), keys))
+        rows = rows.join(_bounds(left, a), "meter_key", "left").join(_bounds(right, b), "meter_key", "left")
+        meet = (F.col(f"{b}_past") > F.col(f"{a}_day")) & (F.col(f"{b}_day") < F.col(f"{a}_past"))
+        rows = rows.filter(F.col(f"{a}_past").isNull() | F.col(f"{b}_past").isNull() | meet)
+        return rows.drop(f"{a}_day", f"{a}_past", f"{b}_day", f"{b}_past")
+
+    sides = [attributes.filter(F.col("fname") == name) for name in (first, second)]
+    crowded = crowded_keys(*sides, ["meter_key"], most_rows=SLICE_ROWS)
+    if crowded is None:
+        return plainly(meters, attributes)
+    plain = plainly(*[df.join(crowded, "meter_key", "left_anti") for df in (meters, attributes)])
+    latest = stage(current(attributes.join(crowded, "meter_key", "left_semi"), keys), "attributes")
+    left, right = both(latest)
+    some = left.select("meter_key").unionByName(right.select("meter_key")).distinct()
+    rows = meters.join(crowded, "meter_key", "left_semi")
+    busy = rows.join(paired_attributes(left, right, names), "meter_key")
+    bare = rows.join(some, "meter_key", "left_anti")
+    return plain.unionByName(busy).unionByName(bare, allowMissingColumns=True)
+
+
 def meter_timeline(
     equipment: DataFrame,
     attributes: DataFrame,
@@ -68,13 +105,16 @@ def meter_timeline(
     ``holding_versions``: "all" lets every live version of a holding reach into its
     span; "newest" only the newest of each link and start.
     """
+    equipment, attributes, meter_groups, device_groups = packed_keys(equipment, attributes, meter_groups, device_groups)
+    holdings, installs, ids = packed_keys(holdings, installs, ids)
+    site_links, equipment_links, hub_site = packed_keys(site_links, equipment_links, hub_site)
     start = ["date_from", "time_from"]
     external = current(ids, ["salnk_key", *start], run_dt, pre=not_blank("checksum"))
     external = external.select("salnk_key", F.col("date_from").alias("id_from"), F.col("date_to").alias("id_to"))
     external = external.join(site_links, "salnk_key").select(F.col("key1").alias("site_key"), F.col("key2").alias("internal_key"), "id_from", "id_to")
-    external = resolve(external.distinct(), hub_site, "site_key", "site_key", {"site_id": "site_id"})
+    external = resolve(distinct_by(external, "site_key"), hub_site, "site_key", "site_key", {"site_id": "site_id"})
     installed = current(installs, ["salnk_key", *start], run_dt).select("salnk_key").join(site_links, "salnk_key")
-    installed = installed.select(F.col("key1").alias("install_key"), F.col("key2").alias("internal_key")).distinct()
+    installed = distinct_by(installed.select(F.col("key1").alias("install_key"), F.col("key2").alias("internal_key")), "internal_key")
     sites = external.join(installed, "internal_key")
     live_holdings = {
         "all": lambda: as_of(holdings, run_dt, "extract_ts").filter(not_deleted()),
@@ -82,30 +122,18 @@ def meter_timeline(
     }[holding_versions]()
     held = live_holdings.select("link_key", "ab", "bis").join(equipment_links, "link_key")
     held = held.select(F.col("site_key").alias("install_key"), F.col("equipment_key").alias("logical_key"), "ab", "bis")
-    held = span(held, ["install_key", "logical_key"], "ab", "bis")
+    # Dealt by the key of the next join alone: folding and join share one shuffle.
+    held = span(held.repartition("install_key"), ["install_key", "logical_key"], "ab", "bis")
     placed = stage(sites.join(held, "install_key").select("site_id", "id_from", "id_to", "logical_key", "ab", "bis"), "placed")
 
     groups = current(meter_groups, ["group_key", "ab"], run_dt, pre=F.col("kombinat") == kind)
-    spans = placed.join(groups.select("logical_key", "meter_key").distinct(), "logical_key")
+    spans = placed.join(distinct_by(groups.select("logical_key", "meter_key"), "logical_key"), "logical_key")
     spans = span(spans, ["meter_key", "site_id", "id_from", "id_to"], "ab", "bis")
     spans = spans.withColumnsRenamed({"ab": "install_date", "bis": "removal_date"})
 
-    # Both attributes are ranked in one pass; the filter is on a ranking key, so it may come first.
-    latest = stage(current(attributes, ["meter_key", "fname", "ab"], pre=F.col("fname").isin(read_type, install_type)), "attributes")
-    reads = eav_attribute(latest, ["meter_key"], read_type, "read")
-    types = eav_attribute(latest, ["meter_key"], install_type, "typ")
-    pairs = paired_attributes(reads, types, ("read", "typ"))
     serials = current(equipment, ["eq_link_key"], run_dt).select("meter_key", F.col("device_id").alias("meter_num"))
-    # A meter whose attributes never meet has no row at all; only a meter without
-    # any attribute is kept bare.
-    some = reads.select("meter_key").unionByName(types.select("meter_key")).distinct()
-    rows = (
-        serials.join(spans, "meter_key")
-        .join(some.withColumn("__some", F.lit(True)), "meter_key", "left")
-        .join(pairs.withColumn("__pair", F.lit(True)), "meter_key", "left")
-        .filter(F.col("__pair").isNotNull() | F.col("__some").isNull())
-    )
-    rows = stage(rows.drop("meter_key", "__some", "__pair"), "rows")
+    rows = with_attributes(serials.join(spans, "meter_key"), attributes, read_type, install_type, ("read", "typ"))
+    rows = stage(rows.drop("meter_key"), "rows")
     lines = array_timeline(
         rows,
         ["site_id", "meter_num"],
@@ -124,7 +152,7 @@ def meter_timeline(
             read.alias("read_typ_cd"),
             first.alias("from_dt"),
             last.alias("to_dt"),
-        ).distinct()
+        )
 
     none = F.lit(None).cast("string")
     main = feed(
@@ -134,10 +162,11 @@ def meter_timeline(
     gap = leading_gap(gap, ["site_id"], "opened", "first")
     gap = feed(gap, F.lit("0"), none, none, F.col("from_dt"), F.col("to_dt"))
     other = current(device_groups, ["group_key", "ab"], run_dt).select("logical_key", "device_id", "category", "ab", "bis")
-    other = span(other, ["logical_key", "device_id", "category"], "ab", "bis")
-    other = placed.select("site_id", "logical_key").distinct().join(other, "logical_key")
+    other = span(other.repartition("logical_key"), ["logical_key", "device_id", "category"], "ab", "bis")
+    other = distinct_by(placed.select("site_id", "logical_key"), "logical_key").join(other, "logical_key")
     other = span(other, ["site_id", "device_id", "category"], "ab", "bis")
     other = feed(other, F.col("device_id"), none, none, parse_day("ab"), parse_day("bis"))
-    every = main.unionByName(gap).unionByName(other).distinct()
+    # No distinct before: equal rows tie in every column, and the first of them is taken.
+    every = main.unionByName(gap).unionByName(other)
     order = [*newest("to_dt"), *oldest("installation_typ", "read_typ_cd")]
     return first_per_key(every, ["site_id", "meter_num", "from_dt"], order)
