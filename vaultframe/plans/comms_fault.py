@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from vaultframe.functions.columns import blank_to_null, fold_category, not_blank
 from vaultframe.functions.dates import as_date, as_of, effective_on, recency_flag, scan_window
-from vaultframe.functions.keys import hash_diff
+from vaultframe.functions.keys import hash_diff, unpack, unpacked
 from vaultframe.operators.joins import drop_matching, join_mapped, not_exists_mapped
 from vaultframe.operators.versions import current_version, first_per_key, newest, not_deleted
-from vaultframe.plans.common import current, latest_first
+from vaultframe.plans.common import current, latest_first, packed_keys
 from vaultframe.session import stage
 from vaultframe.sources.sink import replace_run
 
@@ -28,6 +28,12 @@ def network_of(col: str, networks: Mapping[str, tuple[str, ...]] = NETWORKS) ->
     return fold_category(col, networks)
 
 
+def by_text(df: DataFrame, *keys: str) -> list[Column]:
+    """The largest key first, packed keys in the order of their texts."""
+    kinds = dict(df.dtypes)
+    return [(unpacked(c) if kinds[c] == "binary" else F.col(c)).desc_nulls_last() for c in keys]
+
+
 def active_meters(
     status: DataFrame,
     ids: DataFrame,
@@ -40,6 +46,8 @@ def active_meters(
     statuses: tuple[str, ...] = ("A",),
 ) -> DataFrame:
     """Distinct site, internal id and equipment in force on the run day."""
+    status, ids, installs, holdings = packed_keys(status, ids, installs, holdings)
+    site_links, equipment_links = packed_keys(site_links, equipment_links)
     state = current(
         status,
         ["site_key"],
@@ -54,13 +62,14 @@ def active_meters(
     installed = installed.join(site_links, "salnk_key").select(F.col("key1").alias("install_key"), F.col("key2").alias("internal_key"))
     held = current(holdings, ["link_key"], run_dt, period=("ab", "bis")).select("link_key")
     held = held.join(equipment_links, "link_key").select(F.col("site_key").alias("install_key"), "equipment_key")
-    return (
+    found = (
         state.join(external, "site_key")
         .join(installed, "internal_key")
         .join(held, "install_key")
         .select("site_key", "internal_key", "equipment_key")
         .distinct()
     )
+    return unpack(found, "site_key", "internal_key", "equipment_key")
 
 
 def comms_cards(
@@ -79,6 +88,7 @@ def comms_cards(
     (``key2``); ``groups`` ties equipment to logical equipment, kind ``Z`` for
     meters and ``S`` for cards.
     """
+    equipment, card_links, groups, active = packed_keys(equipment, card_links, groups, active)
     retired = as_of(order_status, run_dt, "extract_ts", inclusive=False)
     retired = retired.filter(not_deleted() & (F.col("inact") != "X") & F.col("stat").isin(*RETIRED))
     in_use = drop_matching(current(equipment, ["eq_link_key"], run_dt), retired.select("order_no").distinct(), ["order_no"])
@@ -94,7 +104,7 @@ def comms_cards(
     meters = group("Z").join(linked, "logical_key", "left").join(
         in_use.select(F.col("equipment_key").alias("item_key"), "device_key"), "item_key"
     )
-    meters = first_per_key(meters, ["device_key"], newest("ab", "item_key", "card_logical_key"))
+    meters = first_per_key(meters, ["device_key"], [*newest("ab"), *by_text(meters, "item_key", "card_logical_key")])
     meters = stage(meters.withColumnRenamed("item_key", "meter_key"), "card_meters")
 
     cards = group("S").withColumnRenamed("logical_key", "card_logical_key").join(
@@ -107,10 +117,10 @@ def comms_cards(
         "item_key",
     )
     with_card = effective_on(meters, run_dt, "ab", "bis").join(cards, "card_logical_key")
-    with_card = first_per_key(with_card, ["card_device_key"], newest("created", "meter_key"))
+    with_card = first_per_key(with_card, ["card_device_key"], [*newest("created"), *by_text(with_card, "meter_key")])
     columns = ["device_key", "meter_key", "comms_type"]
     without = meters.filter(F.col("card_logical_key").isNull()).withColumn("comms_type", F.lit(NO_CARD))
-    return with_card.select(*columns).unionByName(without.select(*columns))
+    return unpack(with_card.select(*columns).unionByName(without.select(*columns)), "device_key", "meter_key")
 
 
 def device_intervals(
@@ -129,6 +139,8 @@ def device_intervals(
     a key that a same-as link (``key1``, ``key3``) leads back from.
     """
 
+    direct, relayed, same_as, hub_device = packed_keys(direct, relayed, same_as, hub_device)
+
     def newest_interval(sat: DataFrame) -> DataFrame:
         rows = scan_window(sat, "extract_day", run_dt, before=scan_days)
         return rows.groupBy("device_key").agg(F.max("interval_ts").alias("interval_ts"))
@@ -140,7 +152,8 @@ def device_intervals(
     second = second.select(F.col("own_key").alias("device_key"), "interval_ts", F.lit("MESH").alias("network"))
     second = second.join(known, "device_key", "left_semi")
     flag = recency_flag("interval_ts", run_dt, threshold_days).alias("fresh")
-    return first.unionByName(second).distinct().select("device_key", "interval_ts", "network", flag)
+    found = first.unionByName(second).distinct()
+    return unpack(found, "device_key").select("device_key", "interval_ts", "network", flag)
 
 
 def read_types(
@@ -155,6 +168,8 @@ def read_types(
     prefix: str = "RWD%",
 ) -> DataFrame:
     """Read-type code of equipment that has an active interval data stream."""
+    attributes, streams, stream_links = packed_keys(attributes, streams, stream_links)
+    device_equipment, hub_device = packed_keys(device_equipment, hub_device)
     codes = current(
         attributes,
         ["equipment_key"],
@@ -179,17 +194,19 @@ def read_types(
         .join(named, "device_key", "left_semi")
         .join(device_equipment.select("device_key", "equipment_key").distinct(), "device_key")
     )
-    return codes.join(measured.select("equipment_key").distinct(), "equipment_key", "left_semi").distinct()
+    found = codes.join(measured.select("equipment_key").distinct(), "equipment_key", "left_semi").distinct()
+    return unpack(found, "equipment_key")
 
 
 def device_details(mesh: DataFrame, wimax: DataFrame) -> DataFrame:
     """Newest device attributes of both networks."""
+    mesh, wimax = packed_keys(mesh, wimax)
     columns = ["device_key", "mac", "meter_firmware", "comms_firmware", "last_comms"]
     parts = [
         first_per_key(sat, ["device_key"], latest_first()).select(*columns, F.lit(name).alias("network"))
         for name, sat in (("MESH", mesh), ("WIMAX", wimax))
     ]
-    return parts[0].unionByName(parts[1]).distinct()
+    return unpack(parts[0].unionByName(parts[1]).distinct(), "device_key")
 
 
 def comms_faults(
@@ -200,8 +217,9 @@ def comms_faults(
     A module type outside every network folds to null and never finds a fresh
     interval, so such a meter is always reported.
     """
+    cards, codes, details, intervals, hub_device = packed_keys(cards, codes, details, intervals, hub_device)
     meters = cards.join(codes.withColumnRenamed("equipment_key", "meter_key"), "meter_key")
-    meters = first_per_key(meters, ["device_key"], newest("read_type_code", "meter_key"))
+    meters = first_per_key(meters, ["device_key"], [*newest("read_type_code"), *by_text(meters, "meter_key")])
     meters = meters.join(hub_device.select("device_key", F.col("device_id").alias("serial")), "device_key")
     network = network_of("comms_type")
     meters = join_mapped(meters, details, ["device_key"], network, "network").distinct()
@@ -210,7 +228,7 @@ def comms_faults(
     silent = not_exists_mapped(meters, fresh, ["device_key"], network, "network")
     silent = join_mapped(silent, stale, ["device_key"], network, "network")
     hashed = ["serial", "mac", "meter_firmware", "read_type_code", "comms_type", "comms_firmware", "last_comms", "last_interval"]
-    return silent.select("device_key", *hashed).distinct().select(
+    return unpack(silent.select("device_key", *hashed).distinct(), "device_key").select(
         "device_key",
         F.lit("OUTBOUND_COMMS_FAULT").alias("record_source"),
         hash_diff(*hashed).alias("hash_diff"),
