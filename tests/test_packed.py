@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from functools import partial
 
+import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from vaultframe.adapters import Tables
 from vaultframe.checks.standins import AmendedVault
 from vaultframe.functions.keys import pack, unpack
@@ -39,6 +41,11 @@ def test_same_as_roles_with_odd_keys_packed_and_never_broadcast(spark, rows):
     assert {r.k1 for r in numbers.collect()} == {3}
 
 
+@pytest.mark.parametrize("key", ["p_site_register", "p_site_register_after_rank"])
+def test_plans_shuffle_packed_keys(spark, key):
+    assert "unhex" in plan(entry.queries()[key](spark, SF))
+
+
 def test_meters_with_many_attribute_periods_give_the_same_rows(spark, rows, monkeypatch):
     common = "ab STRING, bis STRING, extract_ts INT, seq INT, change_type STRING"
     kinds = [("a", "R", 5), ("a", "T", 4), ("b", "R", 2), ("c", "T", 3), (None, "R", 1)]

@@ -10,7 +10,7 @@ from vaultframe.functions.dates import OPEN_END_TEXT
 from vaultframe.operators.joins import resolve
 from vaultframe.operators.timeline import span
 from vaultframe.operators.versions import current_version, newest, not_deleted
-from vaultframe.plans.common import current, latest_first
+from vaultframe.plans.common import current, distinct_by, latest_first, packed_keys
 
 
 def meter_spans(
@@ -32,7 +32,8 @@ def meter_spans(
     held = current(holdings, ["link_key"], order=by_start).select("link_key", "ab", "bis")
     held = held.join(equipment_links, "link_key").select(F.col("site_key").alias("install_key"), "equipment_key", "ab", "bis")
     # Folded before the joins: earliest and latest compose, pairs of periods need not arise.
-    held = span(held, ["install_key", "equipment_key"], "ab", "bis")
+    # Dealt by the key of the joins alone, which then need no shuffle of it.
+    held = span(held.repartition("equipment_key"), ["install_key", "equipment_key"], "ab", "bis")
 
     def group(sat: DataFrame) -> DataFrame:
         is_kind = F.col("kombinat") == kind
@@ -42,11 +43,11 @@ def meter_spans(
 
     keys = ["install_key", "meter_num"]
     first = group(device_groups).select(F.col("logical_key").alias("equipment_key"), F.col("device_id").alias("meter_num"))
-    first = span(held.join(first.distinct(), "equipment_key"), keys, "ab", "bis")
+    first = held.join(distinct_by(first, "equipment_key"), "equipment_key").select(*keys, "ab", "bis")
     serials = current(equipment, ["meter_key"]).select("meter_key", F.col("device_id").alias("meter_num"))
-    second = group(meter_groups).select(F.col("logical_key").alias("equipment_key"), "meter_key").distinct()
-    second = span(held.join(second.join(serials, "meter_key"), "equipment_key"), keys, "ab", "bis")
-    return span(first.unionByName(second), keys, "ab", "bis")
+    second = distinct_by(group(meter_groups).select(F.col("logical_key").alias("equipment_key"), "meter_key"), "meter_key")
+    second = held.join(second.join(serials, "meter_key"), "equipment_key").select(*keys, "ab", "bis")
+    return span(first.unionByName(second).repartition("install_key"), keys, "ab", "bis")
 
 
 def site_register(
@@ -68,8 +69,11 @@ def site_register(
     filter_kind_first: bool = True,
 ) -> DataFrame:
     """All sites with what is known of them; everything but the site is optional."""
+    ids, status, services, installs, holdings = packed_keys(ids, status, services, installs, holdings)
+    device_groups, meter_groups, equipment = packed_keys(device_groups, meter_groups, equipment)
+    site_links, equipment_links, hub_site = packed_keys(site_links, equipment_links, hub_site)
     sites = current(ids, ["salnk_key", "date_from"], pre=not_blank("checksum")).select("salnk_key")
-    sites = sites.join(site_links, "salnk_key").select(F.col("key1").alias("site_key"), "key2").distinct()
+    sites = distinct_by(sites.join(site_links, "salnk_key").select(F.col("key1").alias("site_key"), "key2"), "site_key")
     sites = resolve(sites, hub_site, "site_key", "site_key", {"site_id": "site_id"})
     state = current(
         status,
@@ -88,7 +92,7 @@ def site_register(
         & not_deleted(),
     ).select(F.col("site_key").alias("key2"), F.col("service_id").alias("market_role_key")).distinct()
     installed = current(installs, ["salnk_key"], order=newest("date_from", "extract_ts", "seq")).select("salnk_key")
-    installed = installed.join(site_links, "salnk_key").select(F.col("key1").alias("install_key"), "key2").distinct()
+    installed = distinct_by(installed.join(site_links, "salnk_key").select(F.col("key1").alias("install_key"), "key2"), "key2")
     spans = meter_spans(
         holdings, equipment_links, device_groups, meter_groups, equipment, filter_kind_first=filter_kind_first
     )
