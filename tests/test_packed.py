@@ -41,7 +41,7 @@ def test_same_as_roles_with_odd_keys_packed_and_never_broadcast(spark, rows):
     assert {r.k1 for r in numbers.collect()} == {3}
 
 
-@pytest.mark.parametrize("key", ["p_site_register", "p_site_register_after_rank"])
+@pytest.mark.parametrize("key", ["p_suffix", "p_suffix_running", "p_site_register", "p_site_register_after_rank"])
 def test_plans_shuffle_packed_keys(spark, key):
     assert "unhex" in plan(entry.queries()[key](spark, SF))
 
