@@ -13,6 +13,7 @@ from vaultframe.checks.standins import AmendedVault
 from vaultframe.functions.keys import pack, unpack
 from vaultframe.operators import joins
 from vaultframe.plans import meter_timeline
+from vaultframe.sources import sink
 
 SF = "/root/testdata/sf0.001"
 ODD = ["ab" * 20, "AB" * 20, "ab" * 19, "zz" * 20, "ä" * 40, "", " ", "\0", None]
@@ -81,3 +82,9 @@ def test_amended_versions_need_no_join(spark):
     for name in ("holdings", "fitted", "fitted_groups"):
         df = getattr(v, name)
         assert "Join" not in plan(df) and "order_pri" not in df.columns
+
+
+def test_buckets_grow_with_the_table(spark):
+    one, many = spark.range(10), spark.range(2_100)
+    assert sink.bucket_count(one, many, least=8, rows=1_000) == 8
+    assert sink.bucket_count(one, many, least=8, rows=100) == 32

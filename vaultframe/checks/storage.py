@@ -219,6 +219,7 @@ def sat_link_clustered(t: Tables):
 
 def clustered_join(t: Tables, buckets: int):
     sat = t.lineitem.select(hash_key("l_orderkey").alias("meter_key"), "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("extract_ts"))
+    buckets = sink.bucket_count(t.lineitem, t.lnk_site_meter, least=buckets)
     sat = sink.write_clustered(sat, unique("sat"), new_work_path(t.spark, "sat"), "meter_key", buckets)
     link = sink.write_clustered(t.lnk_site_meter, unique("link"), new_work_path(t.spark, "link"), "meter_key", buckets)
     latest = first_per_key(sat, ["meter_key"], newest("extract_ts", "l_linenumber"))

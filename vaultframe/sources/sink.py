@@ -155,6 +155,17 @@ def write_clustered(df: DataFrame, name: str, path: str, key: str, buckets: int)
     return spark.table(name)
 
 
+def bucket_count(*frames: DataFrame, least: int, rows: int = 1_000_000) -> int:
+    """Buckets for tables that are to meet: ``least``, doubled until the largest has no more than ``rows`` rows a bucket.
+
+    A bucket is written and read by one task, so their number has to grow with the tables.
+    """
+    most, buckets = max(df.count() for df in frames), least
+    while buckets * rows < most:
+        buckets *= 2
+    return buckets
+
+
 def create_table(spark: SparkSession, spec: TableSpec, path: str, fmt: str = "parquet") -> DataFrame:
     """An empty table with the declared types, partitions, location and comment."""
     parts = f"PARTITIONED BY ({', '.join(spec.partition_by)})" if spec.partition_by else ""
