@@ -12,7 +12,7 @@ from vaultframe.functions.dates import closed_end
 from vaultframe.operators.joins import overlap_join, resolve
 from vaultframe.operators.timeline import dedup_slices, timeline
 from vaultframe.operators.versions import first_per_key, newest, oldest
-from vaultframe.plans.common import current
+from vaultframe.plans.common import current, packed_keys
 from vaultframe.session import stage
 
 
@@ -51,6 +51,9 @@ def meter_channels(
     lie on a complete way from the site to a suffix, virtual channels included;
     only real channels are then attached to the slices.
     """
+    points, point_devices, devices, channels = packed_keys(points, point_devices, devices, channels)
+    device_channels, channel_params = packed_keys(device_channels, channel_params)
+    site_links, hub_site, hub_channel = packed_keys(site_links, hub_site, hub_channel)
     spots = current(points, ["salnk_key"], run_dt).select("salnk_key").join(site_links, "salnk_key")
     spots = spots.select(F.col("key1").alias("site_key"), F.col("key2").alias("point_key")).distinct()
     spots = resolve(spots, hub_site, "site_key", "site_key", {"site_id": "site_id"}).drop("site_key")
