@@ -2,13 +2,14 @@
 
 No join carries a broadcast hint: Spark broadcasts a side only when its measured
 size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and
-merges, where adaptive execution splits a hot key.
+merges, where adaptive execution splits a hot key. Only a key sketch, of bounded size, is asked to be broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,6 +111,70 @@ LEVELS = 7
 HELD_KEYS = 20_000
 
 
+#: Bits of a sketch for each row it is made from, and at most: 32 MB, whatever the number of keys.
+SKETCH_BITS = 8
+MOST_SKETCH_BITS = 1 << 28
+#: Types whose equal values have equal hashes.
+SKETCHED = ("binary", "string", "int", "bigint")
+
+
+class KeySketch(NamedTuple):
+    """Which hashes the keys of a frame have: lists of 64 words of 64 bits each by ``__slot``; ``kind`` is the keys' type."""
+
+    slots: DataFrame
+    bits: int
+    kind: str
+
+
+def key_sketch(df: DataFrame, key: str) -> KeySketch:
+    """Sketch of the keys of a staged frame, to tell rows of another that can't meet them before these are shuffled.
+
+    A key of the frame is always found again, one in ten others is so by chance. Beyond 33 million rows the sketch
+    grows no further, and others are found more often.
+    """
+    rows, bits = df.count(), 1 << 12
+    while bits < min(rows * SKETCH_BITS, MOST_SKETCH_BITS):
+        bits *= 2
+    at = F.xxhash64(key).bitwiseAND(bits - 1)
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63).cast("int"))
+    words = df.filter(F.col(key).isNotNull()).select(F.shiftright(at, 6).alias("__word"), one.alias("__bits"))
+    none = df.sparkSession.range(bits // 64).select(F.col("id").alias("__word"), F.lit(0).cast("long").alias("__bits"))
+    words = words.unionAll(none).groupBy("__word").agg(F.bit_or("__bits").alias("__bits"))
+    listed = F.array_sort(F.collect_list(F.struct("__word", "__bits"))).getField("__bits")
+    slots = words.groupBy(F.shiftright("__word", 6).alias("__slot")).agg(listed.alias("__words"))
+    return KeySketch(stage(slots, "sketch"), bits, dict(df.dtypes)[key])
+
+
+def with_chance(df: DataFrame, sketch: KeySketch, key: str, name: str) -> DataFrame:
+    """The frame with a flag: false only for rows whose key is null or surely none of the sketch's.
+
+    The sketch is sent to all tasks. Keys of another type than its own all have their chance.
+    """
+    if sketch.kind not in SKETCHED or dict(df.dtypes)[key] != sketch.kind:
+        return df.withColumn(name, F.col(key).isNotNull())
+    at = F.xxhash64(key).bitwiseAND(sketch.bits - 1)
+    found = df.withColumn("__at", F.when(F.col(key).isNotNull(), at)).withColumn("__slot", F.shiftright("__at", 12))
+    found = found.join(F.broadcast(sketch.slots), "__slot", "left")
+    word = F.get("__words", F.shiftright("__at", 6).bitwiseAND(63).cast("int"))
+    bit = F.call_function("shiftright", word, F.col("__at").bitwiseAND(63).cast("int")).bitwiseAND(1)
+    return found.withColumn(name, F.coalesce(bit == 1, F.lit(False))).drop("__at", "__slot", "__words")
+
+
+def may_meet(df: DataFrame, sketch: KeySketch, key: str) -> DataFrame:
+    """Rows that an inner join with the sketch's frame may still need; the join itself must follow."""
+    return with_chance(df, sketch, key, "__chance").filter("__chance").drop("__chance")
+
+
+def lightened(df: DataFrame, sketch: KeySketch, key: str, payload: list[str]) -> DataFrame:
+    """All rows, with key and payload null where the key can't meet the sketch's.
+
+    For versions ranked by another key before the join: each takes part in the ranking, and one that would lead
+    nowhere if it came first travels light.
+    """
+    flagged = with_chance(df, sketch, key, "__chance")
+    return flagged.withColumns({c: F.when(F.col("__chance"), F.col(c)) for c in [key, *payload]}).drop("__chance")
+
+
 def crowded_keys(
     left: DataFrame, right: DataFrame, keys: list[str], few_pairs: int = FEW_PAIRS, most_rows: int | None = None
 ) -> DataFrame | None:

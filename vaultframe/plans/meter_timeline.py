@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vaultframe.functions.columns import blank_to_null, not_blank
 from vaultframe.functions.dates import as_of, open_end, parse_day
-from vaultframe.operators.joins import crowded_keys, overlap_join, resolve
+from vaultframe.operators.joins import crowded_keys, key_sketch, lightened, may_meet, overlap_join, resolve
 from vaultframe.operators.timeline import array_timeline, leading_gap, span
 from vaultframe.operators.versions import eav_attribute, first_per_key, newest, not_deleted, oldest
 from vaultframe.operators.windows import SLICE_ROWS
@@ -115,23 +115,37 @@ def meter_timeline(
     external = resolve(distinct_by(external, "site_key"), hub_site, "site_key", "site_key", {"site_id": "site_id"})
     installed = current(installs, ["salnk_key", *start], run_dt).select("salnk_key").join(site_links, "salnk_key")
     installed = distinct_by(installed.select(F.col("key1").alias("install_key"), F.col("key2").alias("internal_key")), "internal_key")
-    sites = external.join(installed, "internal_key")
+    sites = stage(external.join(installed, "internal_key").drop("internal_key"), "sites")
     live_holdings = {
         "all": lambda: as_of(holdings, run_dt, "extract_ts").filter(not_deleted()),
         "newest": lambda: current(holdings, ["link_key", "ab"], run_dt),
     }[holding_versions]()
-    held = live_holdings.select("link_key", "ab", "bis").join(equipment_links, "link_key")
+    links = may_meet(equipment_links, key_sketch(sites, "install_key"), "site_key")
+    held = live_holdings.select("link_key", "ab", "bis").join(links, "link_key")
     held = held.select(F.col("site_key").alias("install_key"), F.col("equipment_key").alias("logical_key"), "ab", "bis")
     # Dealt by the key of the next join alone: folding and join share one shuffle.
     held = span(held.repartition("install_key"), ["install_key", "logical_key"], "ab", "bis")
     placed = stage(sites.join(held, "install_key").select("site_id", "id_from", "id_to", "logical_key", "ab", "bis"), "placed")
 
-    groups = current(meter_groups, ["group_key", "ab"], run_dt, pre=F.col("kombinat") == kind)
+    # What no join below can need travels light, or not at all.
+    at_places = key_sketch(placed, "logical_key")
+    other = lightened(device_groups, at_places, "logical_key", ["device_id", "category", "bis"])
+    other = current(other, ["group_key", "ab"], run_dt).filter(F.col("logical_key").isNotNull())
+    other = other.select("logical_key", "device_id", "category", "ab", "bis")
+    other = span(other.repartition("logical_key"), ["logical_key", "device_id", "category"], "ab", "bis")
+    other = distinct_by(placed.select("site_id", "logical_key"), "logical_key").join(other, "logical_key")
+    other = stage(span(other, ["site_id", "device_id", "category"], "ab", "bis"), "others")
+
+    groups = lightened(meter_groups, at_places, "logical_key", ["meter_key"])
+    groups = current(groups, ["group_key", "ab"], run_dt, pre=F.col("kombinat") == kind).filter(F.col("logical_key").isNotNull())
     spans = placed.join(distinct_by(groups.select("logical_key", "meter_key"), "logical_key"), "logical_key")
     spans = span(spans, ["meter_key", "site_id", "id_from", "id_to"], "ab", "bis")
-    spans = spans.withColumnsRenamed({"ab": "install_date", "bis": "removal_date"})
+    spans = stage(spans.withColumnsRenamed({"ab": "install_date", "bis": "removal_date"}), "spans")
 
-    serials = current(equipment, ["eq_link_key"], run_dt).select("meter_key", F.col("device_id").alias("meter_num"))
+    at_meters = key_sketch(spans, "meter_key")
+    serials = current(lightened(equipment, at_meters, "meter_key", ["device_id"]), ["eq_link_key"], run_dt)
+    serials = serials.filter(F.col("meter_key").isNotNull()).select("meter_key", F.col("device_id").alias("meter_num"))
+    attributes = may_meet(attributes, at_meters, "meter_key")
     rows = with_attributes(serials.join(spans, "meter_key"), attributes, read_type, install_type, ("read", "typ"))
     rows = stage(rows.drop("meter_key"), "rows")
     lines = array_timeline(
@@ -161,10 +175,6 @@ def meter_timeline(
     gap = lines.select("site_id", parse_day("id_from").alias("opened"), parse_day("install_date").alias("first"))
     gap = leading_gap(gap, ["site_id"], "opened", "first")
     gap = feed(gap, F.lit("0"), none, none, F.col("from_dt"), F.col("to_dt"))
-    other = current(device_groups, ["group_key", "ab"], run_dt).select("logical_key", "device_id", "category", "ab", "bis")
-    other = span(other.repartition("logical_key"), ["logical_key", "device_id", "category"], "ab", "bis")
-    other = distinct_by(placed.select("site_id", "logical_key"), "logical_key").join(other, "logical_key")
-    other = span(other, ["site_id", "device_id", "category"], "ab", "bis")
     other = feed(other, F.col("device_id"), none, none, parse_day("ab"), parse_day("bis"))
     # No distinct before: equal rows tie in every column, and the first of them is taken.
     every = main.unionByName(gap).unionByName(other)
